@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_ids
+from . import near_dedup, token_ids
 from .scratch import table
 
 
@@ -20,8 +20,13 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_ids(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_ids": op8_token_ids,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
