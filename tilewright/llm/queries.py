@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, token_ids
+from . import decontamination, line_rules, mixing, near_dedup, token_ids
 from .scratch import table
 
 
@@ -16,6 +16,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_ids(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
 
@@ -24,9 +32,17 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
+    "op5_line_rules": op5_line_rules,
     "op8_token_ids": op8_token_ids,
     "op9_near_dedup": op9_near_dedup,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
