@@ -26,7 +26,7 @@ from .scratch import Scratch
 WEIGHTS = (1, 2, 3)
 CAP = 3
 FAN = 64
-POOL = 128
+POOL = 512
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -97,7 +97,7 @@ def round_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     def closed(folded: DataFrame) -> DataFrame:
         return folded.select("source", F.explode("r.done").alias("d")).select("source", "d.doc_id", "d.size", "d.p", "d.whole")
 
-    dealt = counted(docs, F.avg("size").alias("mean"), F.greatest(F.ceil(F.count("*") / POOL), F.lit(4)).alias("every"))
+    dealt = counted(docs, F.avg("size").alias("mean"), F.ceil(F.count("*") / POOL).alias("every"))
     waits = (F.col("size") <= F.col("mean")) & (F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.col("every")) == 0)
     dealt = scratch.keep(dealt.select("source", "doc_id", "size", "p", "whole", waits.alias("waits")), "dealt")
     ends, left, done, level = [dealt.where("waits").drop("waits")], dealt.where("not waits").drop("waits"), [], 0
