@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, line_rules, mixing, near_dedup, token_ids
+from . import decontamination, line_rules, mixing, near_dedup, token_ids, toxicity
 from .scratch import table
 
 
@@ -24,6 +24,10 @@ def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_ids(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
 
@@ -40,6 +44,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_line_rules": op5_line_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_token_ids": op8_token_ids,
     "op9_near_dedup": op9_near_dedup,
     "op10_mixing": op10_mixing,

@@ -15,6 +15,7 @@ rows that repeat a ``doc_id`` are separate documents, ordered by their ids; no r
 from __future__ import annotations
 
 import itertools
+import unicodedata
 import zlib
 
 import numpy as np
@@ -27,7 +28,7 @@ from .scratch import Scratch, small_batches, tasks
 from .words import column_bytes
 
 BLOCK_TOKENS = 1 << 19
-CACHE_WORDS = 250_000
+CACHE_WORDS = 200_000
 
 # --- codec ----------------------------------------------------------------------------------
 
@@ -67,48 +68,63 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
 # --- tokenizing -----------------------------------------------------------------------------
 
 
-class WordTokenizer:
+def byte_letters() -> list[str]:
+    """Byte-level BPE's letter for each byte: printable Latin-1 stands for itself, the rest follow from U+0100."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = itertools.count(0x100)
+    return [chr(b if b in printable else next(others)) for b in range(256)]
+
+
+class WordTokenizer(dict):
     """Encodes texts with a ``tokenizers`` file whose tokens never cross ASCII white space.
 
-    Each distinct word is encoded once by the library and remembered in two bounded generations.
+    Maps a word (bytes) to its ids.  Each distinct word is encoded once by the library and
+    remembered in two bounded generations.  A word of lower-case letters, perhaps with punctuation
+    behind, goes to the library's BPE model at once: the file's normalizer leaves it as it is and
+    its splitter parts it there.  Every other word goes through the whole tokenizer.
     """
 
+    PUNCTUATION = ".,;:!?%*&$#|"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
-        self.new: dict[bytes, bytes] = {}
+        self.letters = dict(enumerate(byte_letters()))
+        self.parts: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.new) + len(words) > CACHE_WORDS:
-            self.old, self.new = self.new, {}
-        unknown = []
-        for word in words:
-            known = self.old.get(word)
-            if known is not None:
-                self.new[word] = known
-            elif word.isalpha() and word.islower() and self.lowers:  # the normalizer and splitter leave it as it is
-                self.new[word] = np.array([t.id for t in self.model.tokenize(word.decode())], "<u4").tobytes()
+    def _part(self, text: str) -> bytes:
+        found = self.parts.get(text)
+        if found is None:
+            if len(self.parts) >= CACHE_WORDS // 2:
+                self.parts.clear()
+            mapped = text.encode().decode("latin-1").translate(self.letters)
+            found = self.parts[text] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        return found
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            text = word.decode()
+            core = text.rstrip(self.PUNCTUATION)
+            if self.lowers and core.isalpha() and core == core.lower() and unicodedata.is_normalized("NFC", core):
+                found = self._part(core) + (self._part(text[len(core) :]) if len(core) < len(text) else b"")
             else:
-                unknown.append(word)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-        self.new.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(unknown, found, strict=True))
+                found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = found
+        return found
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if self.lowers and b"<|" not in text:  # special tokens are matched before lower-casing
             text = text.lower()
-        words = text.split()
-        out = []
-        for at in range(0, len(words), 100_000):
-            part = words[at : at + 100_000]
-            while unknown := set(part).difference(self.new):  # learning may retire a generation
-                self._learn(unknown)
-            out.append(b"".join(map(self.new.__getitem__, part)))
-        return b"".join(out)
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 _loaded: dict[str, WordTokenizer] = {}
