@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, line_rules, mixing, near_dedup, token_ids, toxicity
+from . import decontamination, line_rules, mixing, near_dedup, personal_data, token_ids, toxicity
 from .scratch import table
 
 
@@ -20,6 +20,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(table(spark, sf_dir, "documents"))
+
+
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op4_personal_data": op4_personal_data,
     "op5_line_rules": op5_line_rules,
     "op7_toxicity": op7_toxicity,
     "op8_token_ids": op8_token_ids,
