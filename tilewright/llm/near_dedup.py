@@ -8,10 +8,12 @@ from the lists are filtered by the union sketch (the K smallest of both: how man
 confirmed on the full sets.
 
 Lists of up to SHORT members give all their pairs.  A longer list gives the pairs of each member
-with five leaders; those confirmed are contracted to components, and only members outside a list's
-main component are then compared with the others, in blocks of BLOCK sketches by BLOCK, so that a
-large group of copies costs in proportion to its size and still no link between different texts
-is lost.
+with eight leaders: the shortest, three by hash, other ones in each list, and the four whose values
+are in the longest lists, as an original's are among its copies.  A large group of copies meets
+dozens of leaders that way and costs in proportion to its size.  Documents
+that only share a common passage with a leader would lose their partners, so the members of long
+lists are looked up once more by all K values that are in short lists among them, across
+components only.  No list gives pairs in the square of its size.
 
 Edge cases: null or empty text has no shingles, is linked with nothing and kept; a null ``doc_id``
 gets a null component and is kept; rows that repeat a ``doc_id`` are treated as separate rows of
@@ -35,8 +37,9 @@ INDEXED = 16
 #: Of the K smallest of a union, a pair at similarity 0.75 holds fewer in common once in 10 ** 9.
 SHARED = 28
 SHORT = 32
-BLOCK = 256
+HUBS = 4
 WIDTH = 5
+NEAR_SIZE = "4 * na >= 3 * nb and 4 * nb >= 3 * na"
 
 
 def text_set(words: np.ndarray) -> np.ndarray:
@@ -125,39 +128,50 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, "rep", "left_semi").mapInArrow(run, "rep long, values binary").dropDuplicates(["rep"])
 
 
-def _fringe(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs from long lists that join different components, by blocks of sketches.
+def _stars(long_lists: DataFrame, deep: DataFrame) -> DataFrame:
+    """Pairs of each member of a long list with the list's leaders.
 
-    ``members``: value, rep of long lists.  A list's main component is the one with most members;
-    every member outside it meets every member of the list.
+    Leaders are the shortest member, three by hash, and the most typical of each of HUBS parts of
+    the list: those whose values are in the longest lists, as an original's are among its copies.
     """
-    labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("value", "rep", F.coalesce("component", "rep").alias("component"))
-    sizes = labelled.groupBy("value", "component").agg(F.count("*").alias("size"))
-    lists = sizes.groupBy("value").agg(F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("total"), F.count("*").alias("parts")).where("parts > 1")
-    open_lists = labelled.join(lists.select("value", F.col("main.component").alias("main"), "total"), "value")
-    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
-    spread = open_lists.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    outside = F.col("component") != F.col("main")
-    asking = spread.where(outside).withColumn("asked", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asking = asking.select("value", F.col("block").alias("x"), F.col("asked").alias("y"), "rep", "component", F.lit(True).alias("asks"))
-    answering = spread.withColumn("asker", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    answering = answering.select("value", F.col("asker").alias("x"), F.col("block").alias("y"), "rep", "component", F.lit(False).alias("asks"))
-    meet = asking.unionByName(answering).join(reps.select("rep", "n", "sketch"), "rep")
-
-    def compare(table: pa.Table) -> pa.Table:
-        asks = np.array(table["asks"].to_pylist(), bool)
-        rep, part, n = (np.array(table[c].to_pylist(), np.int64) for c in ("rep", "component", "n"))
-        sketches = stack(table["sketch"].to_pylist())
-        others, found = np.flatnonzero(~asks), []
-        for i in np.flatnonzero(asks):
-            near = others[(part[others] != part[i]) & (4 * n[others] >= 3 * n[i]) & (4 * n[i] >= 3 * n[others])]
-            if len(near):
-                near = near[alike(np.broadcast_to(sketches[i], (len(near), K)), sketches[near])]
-                found += [(min(rep[i], rep[j]), max(rep[i], rep[j])) for j in near]
-        a, b = zip(*set(found), strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return meet.groupBy("value", "x", "y").applyInArrow(compare, "a long, b long").distinct()
+    typical = deep.groupBy("rep").agg(F.sum("size").alias("typical"))
+    known = long_lists.join(typical, "rep").select("value", "rep", "n", "typical")
+    part = F.pmod(F.xxhash64("rep"), F.lit(HUBS))
+    leaders = [F.min(F.struct("n", "rep"))]
+    leaders += [F.min(F.struct(F.xxhash64("rep", "value", F.lit(seed)).alias("h"), "n", "rep")) for seed in (1, 2, 3)]
+    leaders += [F.max(F.when(part == k, F.struct("typical", "n", "rep"))) for k in range(HUBS)]
+    chosen = known.groupBy("value").agg(*[x.alias(f"l{i}") for i, x in enumerate(leaders)])
+    chosen = chosen.select("value", F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"l{i}").isNotNull(), F.struct(F.col(f"l{i}.rep").alias("rep"), F.col(f"l{i}.n").alias("n"))) for i in range(len(leaders))]))).alias("leaders"))
+    met = long_lists.join(chosen, "value").select("rep", F.col("n").alias("na"), F.explode("leaders").alias("l")).select("rep", "na", F.col("l.rep").alias("leader"), F.col("l.n").alias("nb"))
+    return met.where("rep <> leader").where(NEAR_SIZE).select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+
+
+def _all_values(long_lists: DataFrame, reps: DataFrame) -> DataFrame:
+    """``rep, n, value, size`` for all K values of the members of long lists; size is among them."""
+
+    def values(batches):
+        for batch in batches:
+            blobs = batch.column(2).to_pylist()
+            rows = pa.array(np.repeat(np.arange(len(blobs)), [len(b) // 8 for b in blobs]))
+            found = np.frombuffer(b"".join(blobs), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(found)], ["rep", "n", "value"])
+
+    who = reps.join(long_lists.select("rep").distinct(), "rep").select("rep", "n", "sketch")
+    found = who.mapInArrow(values, "rep long, n long, value long")
+    return found.join(found.groupBy("value").agg(F.count("*").alias("size")).where("size > 1"), "value").select("rep", "n", "value", "size")
+
+
+def _deeper(deep: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs across components that share a less common value anywhere in their sketches.
+
+    Lists whose members all lie in one component go first.
+    """
+    known = deep.where(f"size <= {SHORT}").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    lists = known.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    some = known.join(lists.select("value"), "value")
+    x = some.select("value", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = some.select("value", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    return x.join(y, "value").where("a < b and ca <> cb").where(NEAR_SIZE).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -171,17 +185,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = scratch.keep(classes, "reps")
 
     index = reps.select("rep", "n", F.explode("heads").alias("value"))
-    leaders = [F.min(F.struct("n", "rep")), F.max(F.struct("n", "rep"))] + [F.min(F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "n", "rep")) for seed in (1, 2, 3)]
-    lists = index.groupBy("value").agg(F.count("*").alias("size"), *[x.alias(f"l{i}") for i, x in enumerate(leaders)]).where("size > 1")
-    lists = lists.select("value", "size", F.when(F.col("size") > SHORT, F.array(*[F.struct(F.col(f"l{i}.rep").alias("rep"), F.col(f"l{i}.n").alias("n")) for i in range(len(leaders))])).alias("leaders"))
+    lists = index.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
     members = scratch.keep(index.join(lists, "value"), "members")
+    long_lists = members.where(f"size > {SHORT}")
+    deep = scratch.keep(_all_values(long_lists, reps), "deep")
+    star = _stars(long_lists, deep)
 
-    near_size = "4 * na >= 3 * nb and 4 * nb >= 3 * na"
     short = members.where(f"size <= {SHORT}").select("value", "rep", "n")
     x, y = short.select("value", F.col("rep").alias("a"), F.col("n").alias("na")), short.select("value", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    close = x.join(y, "value").where("a < b").where(near_size).select("a", "b")
-    star = members.where(f"size > {SHORT}").select("rep", F.col("n").alias("na"), F.explode("leaders").alias("l")).select("rep", "na", F.col("l.rep").alias("leader"), F.col("l.n").alias("nb"))
-    star = star.where("rep <> leader").where(near_size).select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
+    close = x.join(y, "value").where("a < b").where(NEAR_SIZE).select("a", "b")
     pairs = scratch.keep(_estimate(close.unionByName(star).distinct(), reps), "pairs")
 
     # one partner of each is confirmed first; then only pairs that would join two components
@@ -200,14 +212,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = scratch.keep(links.unionByName(more), "links-2")
     labels = scratch.keep(components(links, scratch, "components-2"), "labels-2")
 
-    long_lists = members.where(f"size > {SHORT}").select("value", "rep")
-    if long_lists.limit(1).count():
-        late = scratch.keep(_fringe(long_lists, labels, reps).join(pairs, ["a", "b"], "left_anti"), "late")
-        if late.limit(1).count():
-            wanted = late.select(F.col("a").alias("rep")).unionByName(late.select(F.col("b").alias("rep"))).distinct()
-            late_sets = scratch.keep(_sets(docs, wanted), "late-sets")
-            links = scratch.keep(links.unionByName(_confirm(late, late_sets)), "links-3")
-            labels = scratch.keep(components(links, scratch, "components-3"), "labels-3")
+    late = _estimate(_deeper(deep, labels).join(pairs, ["a", "b"], "left_anti"), reps)
+    late = scratch.keep(late, "late")
+    if late.limit(1).count():
+        wanted = late.select(F.col("a").alias("rep")).unionByName(late.select(F.col("b").alias("rep"))).distinct()
+        late_sets = scratch.keep(_sets(docs, wanted), "late-sets")
+        links = scratch.keep(links.unionByName(_confirm(late, late_sets)), "links-3")
+        labels = scratch.keep(components(links, scratch, "components-3"), "labels-3")
 
     of_class = reps.select("set_key", "n", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", "n", F.coalesce("component", "rep").alias("found"))
     rows = signed.select("doc_id", "n", "set_key").join(of_class, ["set_key", "n"], "left")
