@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, importance, line_rules, mixing, near_dedup, personal_data, token_ids, toxicity
+from . import decontamination, importance, line_rules, mixing, near_dedup, personal_data, suffix_dedup, token_ids, toxicity
 from .scratch import table
 
 
@@ -20,6 +20,10 @@ def op1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance": op1_importance,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_personal_data": op4_personal_data,
     "op5_line_rules": op5_line_rules,
