@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, importance, line_rules, mixing, near_dedup, personal_data, suffix_dedup, token_ids, toxicity
+from . import chaining, decontamination, importance, line_rules, mixing, near_dedup, personal_data, suffix_dedup, token_ids, toxicity
 from .scratch import table
 
 
@@ -36,6 +36,10 @@ def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_personal_data": op4_personal_data,
     "op5_line_rules": op5_line_rules,
+    "op6_chaining": op6_chaining,
     "op7_toxicity": op7_toxicity,
     "op8_token_ids": op8_token_ids,
     "op9_near_dedup": op9_near_dedup,

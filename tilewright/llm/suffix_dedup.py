@@ -73,7 +73,31 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "block long, ids array<long>, lengths array<long>, texts binary")
 
 
-class Block:
+class Keyed:
+    """What blocks with 64-bit keys share: ``distinct`` keys, ``of`` (key of each item), ``doc`` and ``order``."""
+
+    def buckets(self, n: int) -> np.ndarray:
+        return (self.distinct >> np.uint64(48)).astype(np.int64) % n
+
+    def shared_here(self) -> np.ndarray:
+        """Which distinct keys lie in two documents of the block."""
+        low, high = np.full(len(self.distinct), NO_ID), np.full(len(self.distinct), -NO_ID)
+        np.minimum.at(low, self.of, self.order[self.doc])
+        np.maximum.at(high, self.of, self.order[self.doc])
+        return low < high
+
+    def found(self, bits: list[tuple[int, bytes]], n: int) -> np.ndarray:
+        """Items whose keys were found in two documents; bits by bucket in the order of ``distinct``."""
+        flags, buckets = np.zeros(len(self.distinct), bool), self.buckets(n)
+        by_bucket = np.argsort(buckets, kind="stable")
+        edges = np.searchsorted(buckets[by_bucket], np.arange(n + 1))
+        for bucket, packed in bits:
+            mine = by_bucket[edges[bucket] : edges[bucket + 1]]
+            flags[mine] = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(mine)).astype(bool)
+        return np.flatnonzero(flags[self.of]) if len(self.of) else np.zeros(0, np.int64)
+
+
+class Block(Keyed):
     """Texts laid end to end, with their frames: (start, windows, document) and anchor hash."""
 
     def __init__(self, ids: list, lengths: list[int], texts: bytes):
@@ -114,26 +138,6 @@ class Block:
         counts = np.diff(np.concatenate([first, [len(begin)]]))
         return begin[first], counts, grams[place[first]]
 
-    def buckets(self, n: int) -> np.ndarray:
-        return (self.distinct >> np.uint64(48)).astype(np.int64) % n
-
-    def shared_here(self) -> np.ndarray:
-        """Which distinct anchors lie in two documents of the block."""
-        low, high = np.full(len(self.distinct), NO_ID), np.full(len(self.distinct), -NO_ID)
-        np.minimum.at(low, self.of, self.order[self.doc])
-        np.maximum.at(high, self.of, self.order[self.doc])
-        return low < high
-
-    def found(self, bits: list[tuple[int, bytes]], n: int) -> np.ndarray:
-        """Frames whose anchors were found in two documents; bits by bucket in the order of ``distinct``."""
-        flags, buckets = np.zeros(len(self.distinct), bool), self.buckets(n)
-        by_bucket = np.argsort(buckets, kind="stable")
-        edges = np.searchsorted(buckets[by_bucket], np.arange(n + 1))
-        for bucket, packed in bits:
-            mine = by_bucket[edges[bucket] : edges[bucket + 1]]
-            flags[mine] = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(mine)).astype(bool)
-        return np.flatnonzero(flags[self.of]) if len(self.of) else np.zeros(0, np.int64)
-
     def strings(self, frames: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct frame contents: one frame of each, the content of each frame, its smallest document."""
         lengths = self.count[frames] + LENGTH - 1
@@ -162,12 +166,12 @@ def _open(batch) -> Iterator[tuple[int, Block, dict]]:
 # --- anchors in two documents ---------------------------------------------------------------
 
 
-def _anchors(blocks: DataFrame, n: int) -> DataFrame:
-    """Bits of each block's anchors, by bucket: which lie in two documents."""
+def shared_keys(blocks: DataFrame, n: int, opened=_open) -> DataFrame:
+    """Bits of each block's keys (``distinct``), by bucket: which lie in two documents."""
 
     def send(batches):
         for batch in batches:
-            for number, block, _ in _open(batch):
+            for number, block, _ in opened(batch):
                 buckets, shared = block.buckets(n), block.shared_here()
                 order = np.argsort(buckets, kind="stable")
                 edges = np.searchsorted(buckets[order], np.arange(n + 1))
@@ -434,6 +438,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "suffix-dedup")
     n = min(1 << 16, 4 * tasks(spark))
     blocks = scratch.keep(_blocks(docs), "blocks", codec="none")
-    bits = scratch.keep(_anchors(blocks, n), "bits")
+    bits = scratch.keep(shared_keys(blocks, n), "bits")
     parts = scratch.keep(_compare(blocks, bits, n), "parts")
     return _cut(blocks, bits, parts, n)
