@@ -8,7 +8,7 @@ from the lists are filtered by the union sketch (the K smallest of both: how man
 confirmed on the full sets.
 
 Lists of up to SHORT members give all their pairs.  A longer list gives the pairs of each member
-with eight leaders: the shortest, three by hash, other ones in each list, and the four whose values
+with five leaders: the shortest, two by hash, other ones in each list, and the two whose values
 are in the longest lists, as an original's are among its copies.  A large group of copies meets
 dozens of leaders that way and costs in proportion to its size.  Documents
 that only share a common passage with a leader would lose their partners, so the members of long
@@ -37,7 +37,7 @@ INDEXED = 16
 #: Of the K smallest of a union, a pair at similarity 0.75 holds fewer in common once in 10 ** 9.
 SHARED = 28
 SHORT = 32
-HUBS = 4
+HUBS = 2
 WIDTH = 5
 NEAR_SIZE = "4 * na >= 3 * nb and 4 * nb >= 3 * na"
 
@@ -47,35 +47,36 @@ def text_set(words: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, set_key, sketch, heads`` of each row."""
+    """``doc_id, n, set_key, sketch, short, heads`` of each row; short has the upper halves of the sketch."""
 
     def run(batches):
         for batch in batches:
             words, at = hash_words(column_bytes(batch.column(1)), lower=True)
-            n, keys, sketches, heads = [], [], [], []
+            n, keys, sketches, short, heads = [], [], [], [], []
             for a, b in zip(at[:-1], at[1:], strict=True):
                 values = text_set(words[a:b])
                 n.append(len(values))
                 keys.append(xxhash.xxh3_128_digest(values.tobytes()))
                 sketches.append(values[:K].tobytes())
+                short.append((values[:K] >> np.uint64(32)).astype("<u4").tobytes())
                 heads.append(values[:INDEXED].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()), pa.array(heads, pa.list_(pa.int64()))], ["doc_id", "n", "set_key", "sketch", "heads"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()), pa.array(short, pa.binary()), pa.array(heads, pa.list_(pa.int64()))], ["doc_id", "n", "set_key", "sketch", "short", "heads"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, n long, set_key binary, sketch binary, heads array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, n long, set_key binary, sketch binary, short binary, heads array<long>")
 
 
 def stack(sketches: list[bytes]) -> np.ndarray:
-    """Sketches as rows of K values, the largest value standing for none."""
-    out = np.full((len(sketches), K), np.iinfo(np.uint64).max, np.uint64)
+    """Short sketches as rows of K values, the largest value standing for none."""
+    out = np.full((len(sketches), K), np.iinfo(np.uint32).max, np.uint32)
     for row, blob in zip(out, sketches, strict=True):
-        values = np.frombuffer(blob, np.uint64)
+        values = np.frombuffer(blob, "<u4")
         row[: len(values)] = values
     return out
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which rows of two stacks pass the union-sketch estimate."""
-    none = np.iinfo(np.uint64).max
+    """Which rows of two stacks pass the union-sketch estimate, one chance equality allowed for."""
+    none = np.iinfo(np.uint32).max
     merged = np.sort(np.concatenate([a, b], axis=1), axis=1)
     twice = np.zeros(merged.shape, bool)
     twice[:, 1:] = (merged[:, 1:] == merged[:, :-1]) & (merged[:, 1:] != none)
@@ -83,7 +84,7 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     place = np.cumsum(real & ~twice, axis=1)  # how many distinct values up to here
     shared = (twice & (place <= K)).sum(axis=1)
     union = place[:, -1]
-    return np.where(union <= K, shared * 4 >= union * 3, shared >= SHARED)
+    return np.where(union < K, (shared + 1) * 4 >= union * 3, shared >= SHARED)
 
 
 def _estimate(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -94,8 +95,8 @@ def _estimate(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             passed = alike(stack(batch.column(2).to_pylist()), stack(batch.column(3).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(passed)) for i in (0, 1)], ["a", "b"])
 
-    side = reps.select("rep", "sketch")
-    both = pairs.join(side.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a").join(side.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
+    side = reps.select("rep", "short")
+    both = pairs.join(side.select(F.col("rep").alias("a"), F.col("short").alias("sa")), "a").join(side.select(F.col("rep").alias("b"), F.col("short").alias("sb")), "b")
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
@@ -131,14 +132,14 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _stars(long_lists: DataFrame, deep: DataFrame) -> DataFrame:
     """Pairs of each member of a long list with the list's leaders.
 
-    Leaders are the shortest member, three by hash, and the most typical of each of HUBS parts of
+    Leaders are the shortest member, two by hash, and the most typical of each of HUBS parts of
     the list: those whose values are in the longest lists, as an original's are among its copies.
     """
     typical = deep.groupBy("rep").agg(F.sum("size").alias("typical"))
     known = long_lists.join(typical, "rep").select("value", "rep", "n", "typical")
     part = F.pmod(F.xxhash64("rep"), F.lit(HUBS))
     leaders = [F.min(F.struct("n", "rep"))]
-    leaders += [F.min(F.struct(F.xxhash64("rep", "value", F.lit(seed)).alias("h"), "n", "rep")) for seed in (1, 2, 3)]
+    leaders += [F.min(F.struct(F.xxhash64("rep", "value", F.lit(seed)).alias("h"), "n", "rep")) for seed in (1, 2)]
     leaders += [F.max(F.when(part == k, F.struct("typical", "n", "rep"))) for k in range(HUBS)]
     chosen = known.groupBy("value").agg(*[x.alias(f"l{i}") for i, x in enumerate(leaders)])
     chosen = chosen.select("value", F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"l{i}").isNotNull(), F.struct(F.col(f"l{i}.rep").alias("rep"), F.col(f"l{i}.n").alias("n"))) for i in range(len(leaders))]))).alias("leaders"))
@@ -181,8 +182,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "near-dedup")
     signed = scratch.keep(signatures(docs), "signed")
     some = signed.where("n > 0 and doc_id is not null")
-    classes = some.groupBy("set_key", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("heads").alias("heads"))
+    classes = some.groupBy("set_key", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("short").alias("short"), F.first("heads").alias("heads"))
     reps = scratch.keep(classes, "reps")
+    rows = scratch.keep(signed.select("doc_id", "n", "set_key"), "rows")
+    scratch.drop("signed")
 
     index = reps.select("rep", "n", F.explode("heads").alias("value"))
     lists = index.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
@@ -221,6 +224,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         labels = scratch.keep(components(links, scratch, "components-3"), "labels-3")
 
     of_class = reps.select("set_key", "n", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", "n", F.coalesce("component", "rep").alias("found"))
-    rows = signed.select("doc_id", "n", "set_key").join(of_class, ["set_key", "n"], "left")
+    rows = rows.join(of_class, ["set_key", "n"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("found", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
