@@ -113,11 +113,11 @@ def build(features: DataFrame, config: TileConfig = TileConfig()) -> DataFrame:
     placed = assign(ready.select("ord", "id", "geom", "vertices", "full", "core", "wx0", "wy0", "wx1", "wy1"), config.min_zoom, config.max_zoom, config.extent, config.buffer)
     schema = pa.schema([("z", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("data", pa.binary()), ("raw_bytes", pa.int64()), ("gzip_bytes", pa.int64()), ("instances", pa.int64()), ("dropped", pa.int64()), ("mitigated", pa.bool_())])
 
-    def tile(key, group: pa.Table) -> pa.Table:
+    def tile(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         rows = []
         for r in sorted(group.to_pylist(), key=lambda r: r["ord"]):
             parts = [[[(c["x"], c["y"]) for c in line] for line in p] for p in r["geom"]["parts"]]
-            rows.append({"id": r["id"], "kind": r["geom"]["kind"], "parts": parts, "vertices": r["vertices"], "full": typed(dict(r["full"])), "core": typed(dict(r["core"]))})
+            rows.append({"id": None if r["id"] is None else int(r["id"]), "kind": r["geom"]["kind"], "parts": parts, "vertices": r["vertices"], "full": typed(dict(r["full"])), "core": typed(dict(r["core"]))})
         found = build_tile(*(k.as_py() for k in key), rows, config)
         return pa.Table.from_pylist([found] if found else [], schema=schema)
 
