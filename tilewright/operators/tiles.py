@@ -1,7 +1,7 @@
-"""Tiles: one Arrow function per group encodes a tile under the size ladder; statistics are plain aggregates.
+"""Tiles: an Arrow function over sorted partitions encodes each tile under the size ladder; statistics are plain aggregates.
 
-Skew: a low-zoom tile can hold every feature.  Simplification and quantization therefore happen in
-``prepare``, before the shuffle, and features whose shape vanishes at a zoom are not shuffled at all.
+A tile's features meet in one task, as its bytes depend on all of them; a low-zoom tile can hold every
+feature, so choose ``min_zoom`` for the data.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import json
 import math
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -113,15 +114,28 @@ def build(features: DataFrame, config: TileConfig = TileConfig()) -> DataFrame:
     placed = assign(ready.select("ord", "id", "geom", "vertices", "full", "core", "wx0", "wy0", "wx1", "wy1"), config.min_zoom, config.max_zoom, config.extent, config.buffer)
     schema = pa.schema([("z", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("data", pa.binary()), ("raw_bytes", pa.int64()), ("gzip_bytes", pa.int64()), ("instances", pa.int64()), ("dropped", pa.int64()), ("mitigated", pa.bool_())])
 
-    def tile(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        rows = []
-        for r in sorted(group.to_pylist(), key=lambda r: r["ord"]):
-            parts = [[[(c["x"], c["y"]) for c in line] for line in p] for p in r["geom"]["parts"]]
-            rows.append({"id": None if r["id"] is None else int(r["id"]), "kind": r["geom"]["kind"], "parts": parts, "vertices": r["vertices"], "full": typed(dict(r["full"])), "core": typed(dict(r["core"]))})
-        found = build_tile(*(k.as_py() for k in key), rows, config)
-        return pa.Table.from_pylist([found] if found else [], schema=schema)
+    def run(batches):
+        at, rows = None, []
+
+        def encoded():
+            found = build_tile(*at, rows, config) if rows else None
+            return [found] if found else []
 
-    return placed.drop("wx0", "wy0", "wx1", "wy1").groupBy("z", "x", "y").applyInArrow(tile, TILE)
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if (r["z"], r["x"], r["y"]) != at:
+                    out += encoded()
+                    at, rows = (r["z"], r["x"], r["y"]), []
+                parts = [[[(c["x"], c["y"]) for c in line] for line in p] for p in r["geom"]["parts"]]
+                rows.append({"id": None if r["id"] is None else int(r["id"]), "kind": r["geom"]["kind"], "parts": parts, "vertices": r["vertices"], "full": typed(dict(r["full"])), "core": typed(dict(r["core"]))})
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+        yield pa.RecordBatch.from_pylist(encoded(), schema=schema)
+
+    # sorted partitions are read as a stream: a tile is encoded when its last row has come
+    together = placed.drop("wx0", "wy0", "wx1", "wy1").repartition("z", "x", "y").sortWithinPartitions("z", "x", "y", "ord")
+    return together.mapInArrow(run, TILE)
 
 
 def zoom_stats(tiles: DataFrame) -> DataFrame:
@@ -149,3 +163,18 @@ def inspect(tiles: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(kinds))
 
     return tiles.select("z", "x", "y", "data").mapInArrow(run, schema)
+
+
+def simplify_column(df: DataFrame, column: str, epsilon: float) -> DataFrame:
+    """``df`` with an array of coordinates simplified, a batch at a time."""
+    at, kind = df.columns.index(column), pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+
+    def run(batches):
+        for batch in batches:
+            lines = []
+            for coords in batch.column(at).to_pylist():
+                kept = simplify.simplify_line(np.array([(c["x"], c["y"]) for c in coords or []]).reshape(-1, 2), epsilon)
+                lines.append(None if coords is None else [{"x": x, "y": y} for x, y in kept.tolist()])
+            yield batch.set_column(at, column, pa.array(lines, kind))
+
+    return df.mapInArrow(run, df.schema)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry, properties, tilemath
-from ..operators import assign, jobs, metrics
+from ..operators import assign, ingest, jobs, metrics, tiles
+from ..sources import geojson
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -404,3 +405,74 @@ def aggregate_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(path, F.lit("\t"), F.sha2("s_name", 256), F.lit("\t"), F.length("s_name").cast("string"), F.lit("\n"))
     lines = table(spark, sf_dir, "supplier").agg(F.array_sort(F.collect_list(F.struct(path.alias("p"), line.alias("l")))).alias("v"))
     return lines.select(F.concat(F.lit("sha256:"), F.sha2(F.array_join(F.transform("v", lambda x: x["l"]), ""), 256)).alias("checksum"))
+
+
+# --- rows-only queries: binary and iterative operators, held against fixtures in tests/ -------
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares of the parts and points of the customers as features with properties."""
+    key, side = F.col("p_partkey"), F.col("p_size") * 0.01
+    lon, lat = longitude(key), latitude(key)
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    ring = F.array(corner(lon, lat), corner(lon + side, lat), corner(lon + side, lat + side), corner(lon, lat + side), corner(lon, lat))
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    squares = table(spark, sf_dir, "part").select(
+        key.alias("ord"), key.cast("decimal(20,0)").alias("id"), F.struct(F.lit("Polygon").alias("kind"), F.array(F.array(ring)).alias("parts")).alias("geom"),
+        F.create_map(F.lit("parcelId"), key.cast("string"), F.lit("propertyType"), quoted(F.col("p_type")), F.lit("ownerName"), quoted(F.col("p_name")), F.lit("price"), F.col("p_retailprice").cast("string")).alias("props"),
+    )
+    customer = F.col("c_custkey")
+    spots = table(spark, sf_dir, "customer").select(
+        (customer + 1_000_000_000).alias("ord"), customer.cast("decimal(20,0)").alias("id"), F.struct(F.lit("Point").alias("kind"), F.array(F.array(F.array(corner(longitude(customer), latitude(customer))))).alias("parts")).alias("geom"),
+        F.create_map(F.lit("assetId"), customer.cast("string"), F.lit("market"), quoted(F.col("c_mktsegment"))).alias("props"),
+    )
+    return squares.unionByName(spots)
+
+
+@register()
+def normalized_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.normalize(_features(spark, sf_dir)).select("ord", "id", "geom", "props")
+
+
+@register()
+def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _features(spark, sf_dir)
+    return ingest.summary(ingest.normalize(raw), raw)
+
+
+@register()
+def build_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = ingest.normalize(_features(spark, sf_dir)).select("ord", "id", "geom", "props")
+    return tiles.build(clean, tiles.TileConfig(layer="parcel_boundary", min_zoom=2, max_zoom=6))
+
+
+@register()
+def tile_zoom_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.zoom_stats(build_tiles(spark, sf_dir))
+
+
+@register()
+def mvt_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.inspect(build_tiles(spark, sf_dir))
+
+
+@register()
+def simplify_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order paths of customers at zoom 3's tolerance."""
+    path = F.struct("o_orderdate", "o_orderkey")
+    lines = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(path)).alias("v"))
+    coords = F.transform("v", lambda x: F.struct((x["o_orderkey"] % 3600 / 10.0 - 180.0).alias("x"), (x["o_orderkey"] * 31 % 1600 / 10.0 - 80.0).alias("y")))
+    return tiles.simplify_column(lines.select("o_custkey", coords.alias("coords")), "coords", 20.0)
+
+
+@register()
+def write_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geojson.write_text(ingest.normalize(_features(spark, sf_dir)))
+
+
+@register()
+def read_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features written as one-feature collections and scanned again."""
+    written = write_geojson(spark, sf_dir)
+    texts = written.select(F.col("ord").cast("string").alias("path"), F.concat(F.lit('{"type":"FeatureCollection","features":['), "value", F.lit("]}")).alias("text"))
+    return geojson.scan(texts)
