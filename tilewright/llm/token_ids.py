@@ -28,7 +28,7 @@ from .scratch import Scratch, small_batches, tasks
 from .words import column_bytes
 
 BLOCK_TOKENS = 1 << 19
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 # --- codec ----------------------------------------------------------------------------------
 

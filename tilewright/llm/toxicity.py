@@ -36,7 +36,7 @@ LEAST_SHARE = 0.95
 #: Shorter words are only matched as they are: every one of them is near another word.
 LEAST_LONG = 5
 WINDOW = 8
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 # Quote marks, and words that report what somebody said.
 QUOTES = "\"“”„«»‘’‹›"

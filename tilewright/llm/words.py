@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -42,7 +42,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
         have = np.full(size, _INVERSE if inverse else _BASE, dtype=np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if size <= 4 * SEGMENT:
+        if size <= 1 << 22:
             _powers[key] = have
     return have[:n]
 
