@@ -188,3 +188,16 @@ def test_decisions(spark):
 def test_tile_math(spark):
     row = spark.range(1).select(tilemath.zigzag(F.lit(-1).cast("bigint")).alias("a"), tilemath.zigzag(F.lit(25).cast("bigint")).alias("b"), tilemath.world_y(F.lit(90.0)).alias("c"), F.round(tilemath.world_lat(tilemath.world_y(F.lit(40.75))), 9).alias("d")).first()
     assert (row.a, row.b, row.d) == (1, 50, 40.75) and abs(row.c) < 1e-9
+
+
+def test_sql_names(spark):
+    from tilewright.functions import registry
+
+    registry.register(spark)
+    layer = mvt.Layer("l", 4096)
+    layer.add(1, "Point", mvt.encode_points([(1, 2)]), {"a": 1})
+    spark.createDataFrame([(bytearray(layer.encode()), bytearray(bundle()))], "tile binary, zip binary").createOrReplaceTempView("blobs")
+    row = spark.sql("select mvt_layers(tile)[0] as l, simplify_line(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 1D, 'y', 0.01D), named_struct('x', 2D, 'y', 0D)), 0.1D) as s from blobs").first()
+    assert (row.l.name, row.l.features, row.l["keys"], len(row.s)) == ("l", 1, ["a"], 2)
+    found = spark.sql("select f.number, f.attributes from blobs, lateral read_shapefile(zip) f").collect()
+    assert [r.number for r in found] == [0, 2]
