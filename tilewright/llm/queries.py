@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chaining, decontamination, importance, line_rules, mixing, near_dedup, personal_data, suffix_dedup, token_ids, toxicity
+from . import chaining, decontamination, importance, line_rules, mixing, near_dedup, oracles, personal_data, suffix_dedup, token_ids, toxicity
 from .scratch import table
 
 
@@ -70,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_line_rules": oracles.OP5_LINE_RULES}
