@@ -126,7 +126,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["rep", "values"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text"))
-    return texts.join(wanted, "rep", "left_semi").mapInArrow(run, "rep long, values binary").dropDuplicates(["rep"])
+    return texts.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]).mapInArrow(run, "rep long, values binary")
 
 
 def _stars(long_lists: DataFrame, deep: DataFrame) -> DataFrame:
