@@ -102,6 +102,19 @@ def test_near_dedup_long_lists(make, monkeypatch):
     assert found_classes(make(rows)) == classes(rows)
 
 
+def test_near_dedup_groups_without_short_lists(make):
+    """Groups of more than SHORT documents, each near seven others of its group, and all with one passage."""
+    passage, docs = [f"p{i}" for i in range(12)], []
+    for g in range(3):
+        for k in range(128):
+            words = passage + [f"g{g}w{i}" for i in range(39)]
+            for j in range(7):
+                words[16 + 5 * j] = f"g{g}s{j}{k >> j & 1}"
+            docs.append((g * 1000 + k, " ".join(words)))
+    found = found_classes(make(docs))
+    assert found == {i: (47, i // 1000 * 1000, i % 1000 == 0) for i, _ in docs}
+
+
 def test_chain_is_the_best_one():
     # the second segment lies off the others' line far away
     segments = [(0, 0, 10), (12, 500, 10), (14, 13, 10), (40, 36, 20)]

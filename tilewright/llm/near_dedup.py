@@ -12,8 +12,9 @@ with five leaders: the shortest, two by hash, other ones in each list, and the t
 are in the longest lists, as an original's are among its copies.  A large group of copies meets
 dozens of leaders that way and costs in proportion to its size.  Documents
 that only share a common passage with a leader would lose their partners, so the members of long
-lists are looked up once more by all K values that are in short lists among them, across
-components only.  No list gives pairs in the square of its size.
+lists are met once more across components: a linked pair shares one of the rarest values of its
+sketches, and where such a list is long too, one of the rarest quarter of its full sets.  That has
+no limit of size; only members of those last lists that lie in different components make all pairs.
 
 Edge cases: null or empty text has no shingles, is linked with nothing and kept; a null ``doc_id``
 gets a null component and is kept; rows that repeat a ``doc_id`` are treated as separate rows of
@@ -25,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -162,19 +163,57 @@ def _all_values(long_lists: DataFrame, reps: DataFrame) -> DataFrame:
     return found.join(found.groupBy("value").agg(F.count("*").alias("size")).where("size > 1"), "value").select("rep", "n", "value", "size")
 
 
-def _deeper(deep: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs across components that share a less common value anywhere in their sketches.
+def _rarest(values: DataFrame, total: Column, least: Column) -> DataFrame:
+    """The rarest of each member's ``total`` values, so many that two with ``least`` in common share one.
 
-    Lists whose members all lie in one component go first.
+    ``values`` (rep, value, size) lacks those that nothing else has; they are the rarest of all.
     """
-    known = deep.where(f"size <= {SHORT}").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    lists = known.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    some = known.join(lists.select("value"), "value")
-    x = some.select("value", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = some.select("value", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    mine = Window.partitionBy("rep")
+    place = F.row_number().over(mine.orderBy("size", "value")) + total - F.count("*").over(mine)
+    return values.withColumn("place", place).where(F.col("place") <= total - least + 1).drop("place")
+
+
+def _apart_lists(values: DataFrame, labels: DataFrame) -> DataFrame:
+    """``value, rep, n, component, size`` of lists with members in two components; size is that of the list."""
+    known = values.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    lists = known.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
+    return known.join(lists.select("value", "size"), "value")
+
+
+def _across(lists: DataFrame) -> DataFrame:
+    """Pairs of members of a list that lie in two components."""
+    x = lists.select("value", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = lists.select("value", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     return x.join(y, "value").where("a < b and ca <> cb").where(NEAR_SIZE).select("a", "b").distinct()
 
 
+def _deeper(deep: DataFrame, labels: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs across components among the members of long lists, by the rarest values of each.
+
+    A linked pair has SHARED values of its sketches in common (three quarters of a whole set), so it
+    shares one of the rarest, however long that one's list is.  Short lists give their pairs; the
+    members of long ones are met again by the rarest quarter of their full sets.
+    """
+    whole = F.col("n") * 4 < 3 * K  # then a partner's sketch is its whole set too
+    least = F.when(whole, F.ceil(F.col("n") * 0.75)).otherwise(SHARED)
+    lists = scratch.keep(_apart_lists(_rarest(deep, F.least("n", F.lit(K)), least), labels), "rare-lists")
+    found = _across(lists.where(f"size <= {SHORT}"))
+    hard = lists.where(f"size > {SHORT}").select("rep").distinct()
+    if not hard.limit(1).count():
+        return found
+
+    def values(batches):
+        for batch in batches:
+            blobs = batch.column(1).to_pylist()
+            n = np.array([len(b) // 8 for b in blobs], np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(np.repeat(n, n)), pa.array(np.frombuffer(b"".join(blobs), np.int64))], ["rep", "n", "value"])
+
+    full = scratch.keep(_sets(docs, hard).mapInArrow(values, "rep long, n long, value long"), "full")
+    sized = full.join(full.groupBy("value").agg(F.count("*").alias("size")).where("size > 1"), "value")
+    rare = _rarest(sized, F.col("n"), F.ceil(F.col("n") * 0.75))
+    return found.unionByName(_across(_apart_lists(rare, labels))).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -215,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = scratch.keep(links.unionByName(more), "links-2")
     labels = scratch.keep(components(links, scratch, "components-2"), "labels-2")
 
-    late = _estimate(_deeper(deep, labels).join(pairs, ["a", "b"], "left_anti"), reps)
+    late = _estimate(_deeper(deep, labels, docs, scratch).join(pairs, ["a", "b"], "left_anti"), reps)
     late = scratch.keep(late, "late")
     if late.limit(1).count():
         wanted = late.select(F.col("a").alias("rep")).unionByName(late.select(F.col("b").alias("rep"))).distinct()
