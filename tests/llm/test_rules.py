@@ -116,6 +116,16 @@ def test_automaton_finds_words_one_change_away(lexicon, word):
     assert toxicity.Trie(lexicon).match(word) == (0 if least == 0 else 1 if least == 1 and len(word) >= 5 else None)
 
 
+def test_masked_and_mistyped_terms_are_matched():
+    matcher = toxicity.Matcher(["idiot", "stupid", "moron", "clown", "trash", "loser", "scum", "worthless"])
+    for token in ("id1ot", "st*pid", "(m0ron)", "idot", "clwn", "trsh", "losr", "scom", "scm", "idoit", "wrothless", "w0rthl3ss!"):
+        assert matcher[token.encode()] == 2, token
+    for token in ("idiot", "Stupid,", "idiot-like"):
+        assert matcher[token.encode()] == 1, token
+    for token in ("table", "1997", "", "***", "st**id", "worth"):
+        assert matcher[token.encode()] == 0, token
+
+
 def test_decontamination(spark, make, odd):
     item = " ".join(f"t{i}" for i in range(30))
     changed = " ".join(f"t{i}" if i % 6 else f"x{i}" for i in range(30))

@@ -3,7 +3,9 @@
 The lexicon is learned: words whose occurrences (told apart by their neighbours, so that copies
 count once) are nearly all in toxic training documents.  A word of a document is matched by running
 the Levenshtein automaton of that word along the lexicon trie, one state set a trie node, cut off
-beyond the distance allowed.  The words around a match tell quotation from abuse: quote marks
+beyond the distance allowed: two changes in entries of eight letters and more, one in those of four
+and more, where two swapped letters are one change.  Besides its runs of letters a token is matched
+whole, so that digits and masks within it count as changes.  The words around a match tell quotation from abuse: quote marks
 around it or a reporting word before it.  A logistic model turns the counts into a score.
 
 Fitting uses at most FIT_ROWS labelled rows, those of smallest hash of ``doc_id``; of these, two
@@ -43,6 +45,12 @@ QUOTES = "\"“”„«»‘’‹›"
 REPORTING = {"said", "says", "wrote", "writes", "called", "calls", "quoted", "quote", "term", "word", "sagte", "schrieb", "nannte", "zitat", "wort", "dit", "écrit", "appelé", "mot", "dijo", "escribió", "llamó", "palabra"}
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+_EDGES = re.compile(r"^\W+|\W+$")
+
+
+def changes(entry: str) -> int:
+    """Changes allowed in an entry of the lexicon."""
+    return 2 if len(entry) >= 8 else 1 if len(entry) >= 4 else 0
 
 
 def held_out(doc_id: Column) -> Column:
@@ -56,7 +64,16 @@ class Trie:
         self.root: dict = {}
         self.words = frozenset(words)
         self.halves: dict[int, tuple[dict[int, set[str]], dict[int, set[str]]]] = {}
+        self.parts: dict[int, dict[tuple[int, int], set[str]]] = {}
+        self.spelled = {"".join(sorted(word)) for word in self.words}
         for word in self.words:
+            k = changes(word)
+            cuts = [len(word) * i // (k + 1) for i in range(k + 2)]
+            for n in range(len(word) - k, len(word) + k + 1):
+                here = self.parts.setdefault(n, {})
+                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                    for s in (0,) if i == 0 else (n - len(word),) if i == k else (-1, 0, 1):
+                        here.setdefault((a + s, b + s), set()).add(word[a:b])
             node = self.root
             for letter in word:
                 node = node.setdefault(letter, {})
@@ -80,12 +97,25 @@ class Trie:
         heads, tails = self.halves.get(len(word), ({}, {}))
         return any(word[:w] in have for w, have in heads.items()) or any(word[-w:] in have for w, have in tails.items())
 
-    def _run(self, word: str, distance: int) -> int | None:
+    def near(self, word: str) -> int | None:
+        """Least distance to an entry that allows so many changes (two swapped letters are one), or None."""
+        if word in self.words:
+            return 0
+        found = self._run(word, 2, changes) if self._part(word) else None
+        if found != 1 and len(word) >= 4 and "".join(sorted(word)) in self.spelled and any(word[:i] + word[i + 1] + word[i] + word[i + 2 :] in self.words for i in range(len(word) - 1)):
+            return 1
+        return found
+
+    def _part(self, word: str) -> bool:
+        """k changes leave the first of an entry's k + 1 parts at the start, the last at the end, or the middle one of three at most one place away."""
+        return any(word[a:b] in have for (a, b), have in self.parts.get(len(word), {}).items())
+
+    def _run(self, word: str, distance: int, allowed=None) -> int | None:
         best, n = None, len(word)
         stack = [(self.root, {i: i for i in range(min(distance, n) + 1)})]  # states: letters read -> changes so far
         while stack:
             node, states = stack.pop()
-            if "" in node and n in states:
+            if "" in node and n in states and (allowed is None or states[n] <= allowed(node[""])):
                 best = states[n] if best is None else min(best, states[n])
             open_ = any(cost < distance for cost in states.values())
             children = node.items() if open_ else [(c, node[c]) for c in {word[i] for i in states if i < n} if c in node]
@@ -117,8 +147,10 @@ class Matcher(dict):
 
     def __missing__(self, token: bytes) -> int:
         found = 0
-        for word in _LETTERS.findall(token.decode().lower()):
-            near = self.trie.match(word)
+        text = token.decode().lower()
+        whole = _EDGES.sub("", text)
+        for word in {*_LETTERS.findall(text), whole}:
+            near = self.trie.near(word)
             if near is not None:
                 found = 1 if near == 0 or found == 1 else 2
         if len(self) >= CACHE_WORDS:
