@@ -115,6 +115,36 @@ def test_near_dedup_groups_without_short_lists(make):
     assert found == {i: (47, i // 1000 * 1000, i % 1000 == 0) for i, _ in docs}
 
 
+def test_near_dedup_large_groups_share_a_block(make):
+    """Groups larger than SHORT, near inside and just under the limit to each other."""
+    block, docs = [f"c{i}" for i in range(170)], []
+    for g in range(8):
+        for k in range(36):
+            own = [f"g{g}x{i}" for i in range(32)]
+            own[k % 27] = f"e{g}_{k}"
+            docs.append((g * 1000 + k, " ".join(block + own)))
+    found = found_classes(make(docs))
+    assert found == classes(docs)
+    assert sum(kept for *_, kept in found.values()) == 8
+
+
+def test_block_overlaps():
+    rng = np.random.default_rng(3)
+    sides = [[np.unique(rng.integers(0, top, rng.integers(0, 60))).astype(np.uint64) for _ in range(n)] for n, top in ((40, 90), (25, 4000))]
+    for left, right in ((sides[0], sides[0]), (sides[0], sides[1]), (sides[1], sides[1])):
+        assert near_dedup.overlaps(left, right).tolist() == [[len(np.intersect1d(x, y)) for y in right] for x in left]
+
+
+def test_removal_keeps_rows_that_only_share_an_id(make):
+    words = lambda a: " ".join(f"{a}{i}" for i in range(30))
+    rows = [(1, words("a")), (1, words("b")), (1, words("b")), (2, words("a")), (3, words("b") + " more"), (None, words("a")), (None, None), (4, ""), (4, " "), (5, words("c"))]
+    docs = make(rows).withColumnRenamed("block", "h1").withColumnRenamed("value", "set_key")
+    left = near_dedup.remove_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, (r.text or "")[:2]) for r in left.collect()) == [(0, ""), (0, "a0"), (1, "a0"), (1, "b0"), (4, ""), (4, " "), (5, "c0")]
+    assert near_dedup.remove_near_duplicates(make([])).collect() == []
+
+
 def test_chain_is_the_best_one():
     # the second segment lies off the others' line far away
     segments = [(0, 0, 10), (12, 500, 10), (14, 13, 10), (40, 36, 20)]

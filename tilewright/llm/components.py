@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-#: So few edges are worked on in one task: a step then needs no shuffle.
-FEW = 50_000
+#: Edges a task: a step over fewer needs no shuffle.
+EDGES = 50_000
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -24,7 +24,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         if seen == mark:
             break
         mark, step = seen, step + 1
-        now = now.coalesce(1) if seen.n <= FEW else now
+        now = now.coalesce(-(-seen.n // EDGES) or 1)
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()

@@ -6,20 +6,25 @@ driver and every executor share, and read back.  That cuts lineage and survives
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-LOCAL_DEFAULT = "/tmp/tilewright-checkpoints"
+#: Rows of one long column that may be broadcast: some 30 MB as a hashed relation.
+FEW = 1 << 20
 
 
 def root(spark: SparkSession) -> str:
-    """Shared folder for intermediates; a local default is set only where the session names none."""
+    """Shared folder for intermediates: ``spark.checkpoint.dir``, or a temporary one where one machine is all there is."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = LOCAL_DEFAULT
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir is not set; the executors of {master} need a shared folder")
+    return f"{tempfile.gettempdir()}/tilewright-checkpoints"
 
 
 class Scratch:
@@ -58,6 +63,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def few(df: DataFrame, rows: int = FEW) -> DataFrame:
+    """``df`` (narrow) marked for broadcast if it has at most so many rows; else Spark shuffles for the join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def free_names(df: DataFrame, *bases: str) -> list[str]:
+    """Column names like ``bases`` that no column of ``df`` has, in any case of letters."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in bases:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def small_batches(spark: SparkSession, rows: int = 256, size: str = "4m") -> None:
     """Bound what a Python worker holds at once, whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
