@@ -101,19 +101,24 @@ def test_toxicity(spark, make, odd):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text("abc", min_size=4, max_size=8), min_size=1, max_size=12), st.text("abc", min_size=3, max_size=9))
-def test_automaton_finds_words_one_change_away(lexicon, word):
+@given(st.lists(st.text("abc", min_size=2, max_size=10), min_size=1, max_size=12), st.lists(st.text("abc", max_size=12), min_size=1, max_size=8))
+def test_automaton_finds_words_within_their_changes(lexicon, words):
     def distance(a, b):
-        row = list(range(len(b) + 1))
+        """Insertions, deletions, substitutions and swaps of neighbours, none touched twice."""
+        rows = [list(range(len(b) + 1))]
         for i, x in enumerate(a, 1):
             new = [i]
             for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-            row = new
-        return row[-1]
-
-    least = min(distance(word, e) for e in lexicon)
-    assert toxicity.Trie(lexicon).match(word) == (0 if least == 0 else 1 if least == 1 and len(word) >= 5 else None)
+                new.append(min(rows[-1][j] + 1, new[-1] + 1, rows[-1][j - 1] + (x != y)))
+                if i > 1 and j > 1 and x != y and x == b[j - 2] and y == a[i - 2]:
+                    new[-1] = min(new[-1], rows[-2][j - 2] + 1)
+            rows.append(new)
+        return rows[-1][-1]
+
+    automaton = toxicity.Automaton(lexicon)
+    for word in words:
+        within = [d for e in lexicon if (d := distance(word, e)) <= toxicity.changes(e)]
+        assert automaton.near(word) == min(within, default=None)
 
 
 def test_masked_and_mistyped_terms_are_matched():

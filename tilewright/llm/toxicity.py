@@ -1,12 +1,13 @@
 """Operator 7: toxicity by Levenshtein automata over a lexicon trie, with context windows.
 
 The lexicon is learned: words whose occurrences (told apart by their neighbours, so that copies
-count once) are nearly all in toxic training documents.  A word of a document is matched by running
-the Levenshtein automaton of that word along the lexicon trie, one state set a trie node, cut off
-beyond the distance allowed: two changes in entries of eight letters and more, one in those of four
-and more, where two swapped letters are one change.  Besides its runs of letters a token is matched
-whole, so that digits and masks within it count as changes.  The words around a match tell quotation from abuse: quote marks
-around it or a reporting word before it.  A logistic model turns the counts into a score.
+count once) are nearly all in toxic training documents.  Levenshtein automata of its entries are
+intersected with the trie of all of them, and a word of a document is run through the result, made
+deterministic state by state as letters come: two changes in entries of eight letters and more, one
+in those of four and more, where two swapped letters are one change.  Besides its runs of letters a
+token is matched whole, so that digits and masks within it count as changes.  The words around a
+match tell quotation from abuse: quote marks around it or a reporting word before it.  A logistic
+model turns the counts into a score.
 
 Fitting uses at most FIT_ROWS labelled rows, those of smallest hash of ``doc_id``; of these, two
 thirds give the lexicon on which the weights are fitted with the rest, and then all give the final
@@ -35,9 +36,8 @@ FIT_ROWS = 20_000
 THRESHOLD = 0.3
 LEAST_SEEN = 4
 LEAST_SHARE = 0.95
-#: Shorter words are only matched as they are: every one of them is near another word.
-LEAST_LONG = 5
 WINDOW = 8
+STATES = 20_000
 CACHE_WORDS = 100_000
 
 # Quote marks, and words that report what somebody said.
@@ -57,100 +57,105 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-class Trie:
-    """A lexicon as nested dictionaries; the empty key marks an entry."""
+class Automaton:
+    """The lexicon's trie intersected with Levenshtein automata, made deterministic as words come.
+
+    An item (node, changes, wanted) says that the letters read lead to ``node`` with so many
+    changes; ``wanted`` is the letter that must come next where two are swapped, else empty.  A
+    state is the set of items that still lead to an entry within its allowance.
+    """
 
     def __init__(self, words):
-        self.root: dict = {}
         self.words = frozenset(words)
-        self.halves: dict[int, tuple[dict[int, set[str]], dict[int, set[str]]]] = {}
-        self.parts: dict[int, dict[tuple[int, int], set[str]]] = {}
-        self.spelled = {"".join(sorted(word)) for word in self.words}
-        for word in self.words:
-            k = changes(word)
-            cuts = [len(word) * i // (k + 1) for i in range(k + 2)]
-            for n in range(len(word) - k, len(word) + k + 1):
-                here = self.parts.setdefault(n, {})
-                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    for s in (0,) if i == 0 else (n - len(word),) if i == k else (-1, 0, 1):
-                        here.setdefault((a + s, b + s), set()).add(word[a:b])
-            node = self.root
+        self.children: list[dict[str, int]] = [{}]
+        self.allowed: list[int] = [0]  # the most changes that an entry at or below a node allows
+        self.entry: list[int] = [-1]  # what the entry that ends at a node allows
+        for word in sorted(self.words):
+            node, k = 0, changes(word)
+            self.allowed[0] = max(self.allowed[0], k)
             for letter in word:
-                node = node.setdefault(letter, {})
-            node[""] = word
-            middle = len(word) // 2
-            for n in (len(word) - 1, len(word), len(word) + 1):
-                heads, tails = self.halves.setdefault(n, ({}, {}))
-                heads.setdefault(middle, set()).add(word[:middle])
-                tails.setdefault(len(word) - middle, set()).add(word[middle:])
-
-    def match(self, word: str) -> int | None:
-        """Least distance from ``word`` to an entry: 0, 1 (words of LEAST_LONG letters at least) or None."""
-        if word in self.words:
-            return 0
-        if len(word) < LEAST_LONG or not self._possible(word):
-            return None
-        return self._run(word, 1)
+                if letter not in self.children[node]:
+                    self.children[node][letter] = len(self.children)
+                    self.children.append({})
+                    self.allowed.append(0)
+                    self.entry.append(-1)
+                node = self.children[node][letter]
+                self.allowed[node] = max(self.allowed[node], k)
+            self.entry[node] = k
+        self._reset()
+
+    def _reset(self) -> None:
+        self.states: dict[frozenset, State] = {}
+        self.start = self.state([(0, 0, "")])
+
+    def state(self, items: list[tuple[int, int, str]]) -> State:
+        """The state of ``items`` and of what letters left out lead to."""
+        best: dict[tuple[int, str], int] = {}
+        while items:
+            node, cost, wanted = items.pop()
+            if cost > self.allowed[node] or best.get((node, wanted), cost + 1) <= cost:
+                continue
+            best[node, wanted] = cost
+            if not wanted:
+                items += [(child, cost + 1, "") for child in self.children[node].values()]
+        key = frozenset((node, cost, wanted) for (node, wanted), cost in best.items())
+        found = self.states.get(key)
+        if found is None:
+            ends = [cost for node, cost, wanted in key if not wanted and cost <= self.entry[node]]
+            found = self.states[key] = State(self, key, min(ends, default=None))
+        return found
 
-    def _possible(self, word: str) -> bool:
-        """One change leaves the entry's first half at the word's start or its second half at the end."""
-        heads, tails = self.halves.get(len(word), ({}, {}))
-        return any(word[:w] in have for w, have in heads.items()) or any(word[-w:] in have for w, have in tails.items())
+    def after(self, state: State, letter: str) -> State:
+        items = []
+        for node, cost, wanted in state.items_:
+            if wanted:
+                items += [(node, cost, "")] if letter == wanted else []
+                continue
+            items.append((node, cost + 1, ""))
+            for other, child in self.children[node].items():
+                items.append((child, cost + (other != letter), ""))
+                if other != letter and letter in self.children[child]:
+                    items.append((self.children[child][letter], cost + 1, other))
+        return self.state(items)
 
     def near(self, word: str) -> int | None:
-        """Least distance to an entry that allows so many changes (two swapped letters are one), or None."""
+        """Least distance to an entry that allows so many changes, or None."""
         if word in self.words:
             return 0
-        found = self._run(word, 2, changes) if self._part(word) else None
-        if found != 1 and len(word) >= 4 and "".join(sorted(word)) in self.spelled and any(word[:i] + word[i + 1] + word[i] + word[i + 2 :] in self.words for i in range(len(word) - 1)):
-            return 1
-        return found
+        if len(self.states) > STATES:
+            self._reset()
+        state = self.start
+        for letter in word:
+            state = state[letter]
+            if not state.items_:
+                return None
+        return state.distance
 
-    def _part(self, word: str) -> bool:
-        """k changes leave the first of an entry's k + 1 parts at the start, the last at the end, or the middle one of three at most one place away."""
-        return any(word[a:b] in have for (a, b), have in self.parts.get(len(word), {}).items())
-
-    def _run(self, word: str, distance: int, allowed=None) -> int | None:
-        best, n = None, len(word)
-        stack = [(self.root, {i: i for i in range(min(distance, n) + 1)})]  # states: letters read -> changes so far
-        while stack:
-            node, states = stack.pop()
-            if "" in node and n in states and (allowed is None or states[n] <= allowed(node[""])):
-                best = states[n] if best is None else min(best, states[n])
-            open_ = any(cost < distance for cost in states.values())
-            children = node.items() if open_ else [(c, node[c]) for c in {word[i] for i in states if i < n} if c in node]
-            for letter, child in children:
-                if not letter:
-                    continue
-                after: dict[int, int] = {}
-
-                def reach(i: int, cost: int, after=after) -> None:
-                    while i <= n and cost < after.get(i, distance + 1):  # then letters of the word may be left out
-                        after[i] = cost
-                        i, cost = i + 1, cost + 1
-
-                for i, cost in states.items():
-                    if i < n and word[i] == letter:
-                        reach(i + 1, cost)
-                    reach(i, cost + 1)
-                    reach(i + 1, cost + 1)
-                if after:
-                    stack.append((child, after))
-        return best
+
+class State(dict):
+    """Maps a letter to the next state."""
+
+    __slots__ = ("automaton", "distance", "items_")
+
+    def __init__(self, automaton: Automaton, items: frozenset, distance: int | None):
+        self.automaton, self.items_, self.distance = automaton, items, distance
+
+    def __missing__(self, letter: str) -> State:
+        found = self[letter] = self.automaton.after(self, letter)
+        return found
 
 
 class Matcher(dict):
     """Maps a white-space token (bytes) to 0 (no match), 1 (an entry) or 2 (a misspelled one)."""
 
     def __init__(self, lexicon):
-        self.trie = Trie(lexicon)
+        self.automaton = Automaton(lexicon)
 
     def __missing__(self, token: bytes) -> int:
         found = 0
         text = token.decode().lower()
-        whole = _EDGES.sub("", text)
-        for word in {*_LETTERS.findall(text), whole}:
-            near = self.trie.near(word)
+        for word in (text,) if text.isalpha() else {*_LETTERS.findall(text), _EDGES.sub("", text)}:
+            near = self.automaton.near(word)
             if near is not None:
                 found = 1 if near == 0 or found == 1 else 2
         if len(self) >= CACHE_WORDS:
