@@ -19,7 +19,7 @@ def test_codec_round_trip(values):
 
 @pytest.fixture(scope="module")
 def whole():
-    return token_ids.word_tokenizer(tokenizer_path())
+    return token_ids.word_tokenizer(tokenizer_path(), "<u4")
 
 
 @settings(max_examples=300, deadline=None)

@@ -28,7 +28,8 @@ from .scratch import Scratch, small_batches, tasks
 from .words import column_bytes
 
 BLOCK_TOKENS = 1 << 19
-CACHE_WORDS = 100_000
+#: Words remembered by a worker, in each of two generations: some 50 MB.
+CACHE_WORDS = 300_000
 
 # --- codec ----------------------------------------------------------------------------------
 
@@ -86,11 +87,13 @@ class WordTokenizer(dict):
 
     PUNCTUATION = ".,;:!?%*&$#|"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: str = "<u4"):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        ids = np.arange(max(self.tokenizer.get_vocab().values()) + 1).astype(width)
+        self.packed = [i.tobytes() for i in ids]
         self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
         self.letters = dict(enumerate(byte_letters()))
         self.parts: dict[str, bytes] = {}
@@ -99,10 +102,10 @@ class WordTokenizer(dict):
     def _part(self, text: str) -> bytes:
         found = self.parts.get(text)
         if found is None:
-            if len(self.parts) >= CACHE_WORDS // 2:
+            if len(self.parts) >= CACHE_WORDS:
                 self.parts.clear()
-            mapped = text.encode().decode("latin-1").translate(self.letters)
-            found = self.parts[text] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            mapped = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+            found = self.parts[text] = b"".join([self.packed[t.id] for t in self.model.tokenize(mapped)])
         return found
 
     def __missing__(self, word: bytes) -> bytes:
@@ -110,10 +113,10 @@ class WordTokenizer(dict):
         if found is None:
             text = word.decode()
             core = text.rstrip(self.PUNCTUATION)
-            if self.lowers and core.isalpha() and core == core.lower() and unicodedata.is_normalized("NFC", core):
+            if self.lowers and core.isalpha() and core == core.lower() and (core.isascii() or unicodedata.is_normalized("NFC", core)):
                 found = self._part(core) + (self._part(text[len(core) :]) if len(core) < len(text) else b"")
             else:
-                found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                found = b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
         if len(self) >= CACHE_WORDS:
             self.old = dict(self)
             self.clear()
@@ -121,19 +124,19 @@ class WordTokenizer(dict):
         return found
 
     def encode(self, text: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+        """Ids as integers of the width asked for."""
         if self.lowers and b"<|" not in text:  # special tokens are matched before lower-casing
             text = text.lower()
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_loaded: dict[str, WordTokenizer] = {}
+_loaded: dict[tuple[str, str], WordTokenizer] = {}
 
 
-def word_tokenizer(path: str) -> WordTokenizer:
-    if path not in _loaded:
-        _loaded[path] = WordTokenizer(path)
-    return _loaded[path]
+def word_tokenizer(path: str, width: str) -> WordTokenizer:
+    if (path, width) not in _loaded:
+        _loaded[path, width] = WordTokenizer(path, width)
+    return _loaded[path, width]
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -141,12 +144,12 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     from tokenizers import Tokenizer
 
     width = id_width(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id)
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], width).tobytes()
 
     def run(batches):
-        encoder = word_tokenizer(tokenizer)
+        encoder = word_tokenizer(tokenizer, width)
         for batch in batches:
-            ids = [np.frombuffer(encoder.encode(t) + end, "<u4").astype(width).tobytes() for t in column_bytes(batch.column(1))]
+            ids = [encoder.encode(t) + end for t in column_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, ids binary")
