@@ -6,22 +6,27 @@ copies: the whole part is certain, the fraction p is rounded.  Rounding pairs tw
 moves mass p * words at random from one to the other until one of the two is 0 or 1; expectation
 and each source's words stay as they are.  Chunks of about FAN documents are paired off in turn,
 each leaves one fractional document, and those meet again in chunks: a reduction tree.  What it
-leaves is paired with short documents kept back for that, and the last residual, itself short, is
-rounded by its own fraction.  So a source's words miss its target by less than one document.  Randomness is a hash of the pair, so reruns agree.
+leaves is paired with short documents kept back for that, and the last one is rounded by its own
+fraction.  A long document among short ones may stay open to the end; what its rounding adds or
+lacks is then given back by short documents kept back, the longest that fit first.  So a source's
+words miss its target by about half a short document.  Randomness is a hash of the pair, so reruns agree.
+
+Rows with one id, source and size are one group of n alike: n * p whole rows are taken for certain,
+only the rest of it is rounded, so copies of a row never meet in one chunk.
 
 Edge cases: null text has size 0 and takes 0 words; a null source is a source of its own, ordered
 last; null or repeated ``doc_id`` are rows of their own; a corpus without words has targets of 0;
-an empty table gives no rows; further columns are ignored.
+an empty table gives no rows; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, free_names, tasks
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -30,8 +35,12 @@ POOL = 512
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.col("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    return docs.select("doc_id", "source", _size().alias("size"))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -50,7 +59,10 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return levels.select("source", "source_size", "n", F.least(full, F.coalesce(water, F.lit(float("inf"))) * F.col("w")).alias("target"))
 
 
-_START = "named_struct('open', cast(null as struct<doc_id:{id},size:bigint,p:double,whole:bigint>), 'done', cast(array() as array<struct<doc_id:{id},size:bigint,p:double,whole:bigint>>))"
+#: Rows alike that one task unfolds.
+ALIKE = 1 << 16
+
+_START = "named_struct('open', cast(null as struct<doc_id:{id},size:bigint,p:double,rest:{rest}>), 'done', cast(array() as array<struct<doc_id:{id},size:bigint,p:double,rest:{rest}>>))"
 
 #: One pairing: a is the open document, x the next; up and down are the masses that may move to a or from a.
 _PAIR = """
@@ -63,8 +75,8 @@ aggregate(members, {start}, (acc, m) -> if(acc.open is null, named_struct('open'
 """
 
 
-def _choose(identity: str) -> str:
-    document = "named_struct('doc_id', t.{0}.doc_id, 'size', t.{0}.size, 'p', {1}, 'whole', t.{0}.whole)"
+def _choose() -> str:
+    document = "named_struct('doc_id', t.{0}.doc_id, 'size', t.{0}.size, 'p', {1}, 'rest', t.{0}.rest)"
 
     def moved(first: str, second: str, a_done: str) -> str:
         # a_done: a became whole, so x stays open; else x became whole and a stays open
@@ -79,60 +91,109 @@ def _choose(identity: str) -> str:
     return f"if(t.u * (t.up + t.down) < t.down, {up}, {down})"
 
 
+#: The documents kept back, longest first: each is turned over if that brings the missing words ``e`` nearer to none.
+_GIVE_BACK = """
+aggregate(sort_array(transform(r.done, x -> named_struct('by', -x.size, 'h', xxhash64(x.doc_id, x.size), 'd', x))),
+  named_struct('e', e, 'done', cast(array() as array<struct<doc_id:{id},size:bigint,p:double,rest:{rest}>>)),
+  (acc, m) -> if(if(m.d.p < 0.5D, acc.e, -acc.e) * 2 > m.d.size,
+    named_struct('e', if(m.d.p < 0.5D, acc.e - m.d.size, acc.e + m.d.size),
+      'done', concat(acc.done, array(named_struct('doc_id', m.d.doc_id, 'size', m.d.size, 'p', 1 - m.d.p, 'rest', m.d.rest)))),
+    named_struct('e', acc.e, 'done', concat(acc.done, array(m.d)))),
+  acc -> acc.done)
+"""
+
+
 def round_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Round ``p`` of rows ``(source, doc_id, size, p, whole)``, all with 0 < p < 1 and size > 0, to 0 or 1.
+    """Round ``p`` of rows ``(source, doc_id, size, p, rest)``, all with 0 < p < 1 and size > 0, to 0 or 1.
 
-    About POOL documents a source of at most its mean size wait until the tree has left one
-    fractional document; they take up its fraction, so that the last residual is a short one.
+    ``doc_id`` and ``size`` tell the rows of a source apart; ``rest`` is handed through.  About POOL
+    documents a source of at most its mean size wait until the tree has left one fractional
+    document; they take up its fraction, and what rounding the last one adds or lacks.
     """
-    identity = docs.schema["doc_id"].dataType.simpleString()
-    fold = F.expr(_PAIR.format(start=_START.format(id=identity), salt="salt", choose=_choose(identity)))
-    member = F.struct((-F.col("size")).alias("by"), F.xxhash64("doc_id", F.lit("order")).alias("h"), F.struct("doc_id", "size", "p", "whole").alias("d"))
+    types = {"id": docs.schema["doc_id"].dataType.simpleString(), "rest": docs.schema["rest"].dataType.simpleString()}
+    fold = F.expr(_PAIR.format(start=_START.format(**types), salt="salt", choose=_choose()))
+    member = F.struct((-F.col("size")).alias("by"), F.xxhash64("doc_id", F.lit("order")).alias("h"), F.struct("doc_id", "size", "p", "rest").alias("d"))
     members = F.sort_array(F.collect_list(member)).alias("members")
 
     def counted(df: DataFrame, *sums) -> DataFrame:
         counts = df.groupBy(F.col("source").alias("_of")).agg(*sums)
         return df.join(counts, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
 
-    def closed(folded: DataFrame) -> DataFrame:
-        return folded.select("source", F.explode("r.done").alias("d")).select("source", "d.doc_id", "d.size", "d.p", "d.whole")
+    def opened(folded: DataFrame, column: str) -> DataFrame:
+        return folded.select("source", F.explode(column).alias("d")).select("source", "d.doc_id", "d.size", "d.p", "d.rest")
 
     dealt = counted(docs, F.avg("size").alias("mean"), F.ceil(F.count("*") / POOL).alias("every"))
-    waits = (F.col("size") <= F.col("mean")) & (F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.col("every")) == 0)
-    dealt = scratch.keep(dealt.select("source", "doc_id", "size", "p", "whole", waits.alias("waits")), "dealt")
+    waits = (F.col("size") <= F.col("mean")) & (F.pmod(F.xxhash64("doc_id", "size", F.lit("pool")), F.col("every")) == 0)
+    dealt = scratch.keep(dealt.select("source", "doc_id", "size", "p", "rest", waits.alias("waits")), "dealt")
     ends, left, done, level = [dealt.where("waits").drop("waits")], dealt.where("not waits").drop("waits"), [], 0
     while True:
         level += 1
         chunk = F.pmod(F.xxhash64("doc_id", "size", F.lit(level)), F.col("chunks")).alias("chunk")
         lists = counted(left, F.ceil(F.count("*") / FAN).alias("chunks")).groupBy("source", chunk, "chunks").agg(members)
         folded = scratch.keep(lists.withColumn("salt", F.lit(level)).select("source", "chunks", fold.alias("r")), f"level-{level}")
-        done.append(closed(folded))
-        rest = folded.select("source", "chunks", "r.open.doc_id", "r.open.size", "r.open.p", "r.open.whole")
+        done.append(opened(folded, "r.done"))
+        rest = folded.select("source", "chunks", "r.open.doc_id", "r.open.size", "r.open.p", "r.open.rest")
         ends.append(rest.where("chunks = 1").drop("chunks"))
         left = rest.where("chunks > 1").drop("chunks")
-        if not left.limit(1).count():
+        if left.isEmpty():
             break
     lists = reduce(DataFrame.unionByName, ends).groupBy("source").agg(members)
-    folded = scratch.keep(lists.withColumn("salt", F.lit(0)).select("source", fold.alias("r")), "last")
+    folded = lists.withColumn("salt", F.lit(0)).select("source", fold.alias("r"))
     chance = F.pmod(F.xxhash64("r.open.doc_id", "r.open.size", F.lit("last")), F.lit(1 << 52)) / float(1 << 52)
-    last = F.when(chance < F.col("r.open.p"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("p")
-    residual = folded.select("source", "r.open.doc_id", "r.open.size", last, "r.open.whole")
-    return reduce(DataFrame.unionByName, [*done, closed(folded), residual])
+    last = folded.withColumn("last", F.when(chance < F.col("r.open.p"), F.lit(1.0)).otherwise(F.lit(0.0)))
+    missing = last.withColumn("e", (F.col("r.open.p") - F.col("last")) * F.col("r.open.size"))
+    ended = scratch.keep(missing.select("source", "r.open", "last", F.expr(_GIVE_BACK.format(**types)).alias("done")), "last")
+    residual = ended.select("source", "open.doc_id", "open.size", F.col("last").alias("p"), "open.rest")
+    return reduce(DataFrame.unionByName, [*done, opened(ended, "done"), residual])
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` of every row of ``docs`` (doc_id, source, text)."""
-    scratch = Scratch(docs.sparkSession, "mixing")
-    sized = scratch.keep(sizes(docs), "sized")
+def allot(sized: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """``source, doc_id, size, rows, source_size, target, whole, extra`` of each group of rows alike in ``sized``.
+
+    Every row of a group is taken ``whole`` times, and ``extra`` of them once more.
+    """
     goals = scratch.keep(targets(sized, weights, cap).withColumnRenamed("source", "_of"), "targets")
     of_goal = F.col("source").eqNullSafe(F.col("_of"))
-    due = sized.join(goals, of_goal).select("doc_id", "source", "size", "source_size", "target")
-    copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    due = due.withColumn("_c", copies).withColumn("whole", F.floor(F.col("_c") + 1e-9)).withColumn("p", F.greatest(F.col("_c") - F.col("whole"), F.lit(0.0)))
-    rounded = (F.col("size") > 0) & (F.col("p") > 1e-9)
-    plain = due.where(~rounded).select("source", "doc_id", "size", F.lit(0.0).alias("p"), "whole")
-    open_ = scratch.keep(due.where(rounded).select("source", "doc_id", "size", "p", "whole"), "open")
-    all_rows = plain.unionByName(round_copies(open_, scratch))
-    n = (F.col("whole") + F.col("p").cast("long")).alias("copies")
-    out = all_rows.join(goals, of_goal).select("doc_id", "source", "size", "source_size", "target", n)
+    copies = F.when((F.col("source_size") > 0) & (F.col("size") > 0), F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    groups = sized.groupBy("source", "doc_id", "size").agg(F.count("*").alias("rows")).join(goals, of_goal)
+    due = groups.withColumn("whole", F.floor(copies + 1e-9)).withColumn("mass", F.col("rows") * F.greatest(copies - F.col("whole"), F.lit(0.0)))
+    due = due.withColumn("sure", F.floor(F.col("mass") + 1e-9)).withColumn("p", F.greatest(F.col("mass") - F.col("sure"), F.lit(0.0)))
+    due = scratch.keep(due.select("source", "doc_id", "size", "p", F.struct("rows", "whole", "sure").alias("rest")), "due")
+    plain = due.where("p <= 1e-9").withColumn("p", F.lit(0.0))
+    rounded = plain.unionByName(round_copies(due.where("p > 1e-9"), scratch))
+    known = rounded.select("source", "doc_id", "size", "rest.rows", "rest.whole", (F.col("rest.sure") + F.col("p").cast("long")).alias("extra"))
+    return known.join(goals, of_goal).select("source", "doc_id", "size", "rows", "source_size", "target", "whole", "extra")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` of every row of ``docs`` (doc_id, source, text)."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "mixing")
+    groups = allot(scratch.keep(sizes(docs), "sized"), scratch, weights, cap)
+    one = groups.where("rows = 1").withColumn("number", F.lit(0).cast("long"))
+    parts = groups.where("rows > 1").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / ALIKE))))
+    dealt = parts.repartition(tasks(spark), "doc_id", "size", "part")
+    many = dealt.withColumn("number", F.explode(F.sequence(F.col("part") * ALIKE, F.least("rows", (F.col("part") + 1) * ALIKE) - 1))).drop("part")
+    n = (F.col("whole") + (F.col("number") < F.col("extra")).cast("long")).alias("copies")
+    out = one.unionByName(many).select("doc_id", "source", "size", "source_size", "target", n)
     return out.withColumn("taken", F.col("size") * F.col("copies"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, all columns as they are.
+
+    A null ``source`` is a source of its own; rows with a null or repeated ``doc_id`` are rows of
+    their own; rows without words go.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    size, copy, number, *names = free_names(docs, "size", "copy", "number", "of_id", "of_source", "of_size", "rows", "whole", "extra")
+    groups = allot(scratch.keep(sizes(docs), "sized"), scratch, weights, cap).where("whole + extra > 0").select("doc_id", "source", "size", "rows", "whole", "extra").toDF(*names)
+    of_id, of_source, of_size, rows, whole, extra = names
+    sized = docs.withColumn(size, _size()).where(F.col(size) > 0)
+    met = sized.join(groups, F.col("doc_id").eqNullSafe(F.col(of_id)) & F.col("source").eqNullSafe(F.col(of_source)) & (F.col(size) == F.col(of_size)))
+    alike = Window.partitionBy(of_id, of_source, of_size).orderBy("text")
+    one = met.where(F.col(rows) == 1).withColumn(number, F.lit(1))
+    many = met.where(F.col(rows) > 1).withColumn(number, F.row_number().over(alike))
+    times = F.col(whole).cast("int") + (F.col(number) <= F.col(extra)).cast("int")
+    taken = one.unionByName(many).withColumn(copy, times).where(F.col(copy) > 0)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*docs.columns)
