@@ -6,10 +6,10 @@ copies: the whole part is certain, the fraction p is rounded.  Rounding pairs tw
 moves mass p * words at random from one to the other until one of the two is 0 or 1; expectation
 and each source's words stay as they are.  Chunks of about FAN documents are paired off in turn,
 each leaves one fractional document, and those meet again in chunks: a reduction tree.  What it
-leaves is paired with short documents kept back for that, and the last one is rounded by its own
-fraction.  A long document among short ones may stay open to the end; what its rounding adds or
-lacks is then given back by short documents kept back, the longest that fit first.  So a source's
-words miss its target by about half a short document.  Randomness is a hash of the pair, so reruns agree.
+leaves is paired with short documents kept back for that.  A long document among short ones may
+stay open to the end; what its rounding adds or lacks is then given back by those short documents,
+the longest that fit first, and it is rounded the way that leaves less missing.  So a source's words
+miss its target by about half a short document.  Randomness is a hash of the pair, so reruns agree.
 
 Rows with one id, source and size are one group of n alike: n * p whole rows are taken for certain,
 only the rest of it is rounded, so copies of a row never meet in one chunk.
@@ -94,12 +94,11 @@ def _choose() -> str:
 #: The documents kept back, longest first: each is turned over if that brings the missing words ``e`` nearer to none.
 _GIVE_BACK = """
 aggregate(sort_array(transform(r.done, x -> named_struct('by', -x.size, 'h', xxhash64(x.doc_id, x.size), 'd', x))),
-  named_struct('e', e, 'done', cast(array() as array<struct<doc_id:{id},size:bigint,p:double,rest:{rest}>>)),
+  named_struct('e', {e}, 'done', cast(array() as array<struct<doc_id:{id},size:bigint,p:double,rest:{rest}>>)),
   (acc, m) -> if(if(m.d.p < 0.5D, acc.e, -acc.e) * 2 > m.d.size,
     named_struct('e', if(m.d.p < 0.5D, acc.e - m.d.size, acc.e + m.d.size),
       'done', concat(acc.done, array(named_struct('doc_id', m.d.doc_id, 'size', m.d.size, 'p', 1 - m.d.p, 'rest', m.d.rest)))),
-    named_struct('e', acc.e, 'done', concat(acc.done, array(m.d)))),
-  acc -> acc.done)
+    named_struct('e', acc.e, 'done', concat(acc.done, array(m.d)))))
 """
 
 
@@ -139,10 +138,13 @@ def round_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
             break
     lists = reduce(DataFrame.unionByName, ends).groupBy("source").agg(members)
     folded = lists.withColumn("salt", F.lit(0)).select("source", fold.alias("r"))
+    # the last document is rounded the way that leaves less missing, by its own fraction if both leave the same
+    ways = [F.expr(_GIVE_BACK.format(e=f"(r.open.p - {way}D) * r.open.size", **types)).alias(name) for way, name in ((0, "down"), (1, "up"))]
     chance = F.pmod(F.xxhash64("r.open.doc_id", "r.open.size", F.lit("last")), F.lit(1 << 52)) / float(1 << 52)
-    last = folded.withColumn("last", F.when(chance < F.col("r.open.p"), F.lit(1.0)).otherwise(F.lit(0.0)))
-    missing = last.withColumn("e", (F.col("r.open.p") - F.col("last")) * F.col("r.open.size"))
-    ended = scratch.keep(missing.select("source", "r.open", "last", F.expr(_GIVE_BACK.format(**types)).alias("done")), "last")
+    more = F.abs("up.e") - F.abs("down.e")
+    up = (more < 0) | ((more == 0) & (chance < F.col("r.open.p")))
+    both = folded.select("source", "r", *ways).select("source", "r.open", "up", "down", up.cast("double").alias("last"))
+    ended = scratch.keep(both.select("source", "open", "last", F.when(F.col("last") == 1, F.col("up.done")).otherwise(F.col("down.done")).alias("done")), "last")
     residual = ended.select("source", "open.doc_id", "open.size", F.col("last").alias("p"), "open.rest")
     return reduce(DataFrame.unionByName, [*done, opened(ended, "done"), residual])
 
