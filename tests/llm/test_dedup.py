@@ -155,7 +155,24 @@ def test_chain_is_the_best_one():
 def test_align_passes_substitutions():
     a = np.arange(100)
     b = np.concatenate([np.arange(1000, 1005), a[:50], [777, 778], a[52:]])
-    assert chaining.align(a, b, [(10, 15, 20), (60, 65, 20)]) == (0, 100, 5, 105, 98)
+    assert chaining.align(a, b, [(10, 15, 20), (60, 65, 20)])[:5] == (0, 100, 5, 105, 98)
+
+
+def test_lone_seeds_last_if_their_likeness_does():
+    """Held against the alignment itself: what it drops cannot reach MATCHING words."""
+    rng, n = np.random.default_rng(5), chaining.NEAR_BY
+    kept = dropped = 0
+    for _ in range(400):
+        a = rng.integers(0, 1000, 200)
+        b = np.where(rng.random(200) < rng.choice([0, 0.1, 0.6, 0.9]), a, rng.integers(1000, 2000, 200))
+        b[100:105] = a[100:105]
+        around = lambda x: np.concatenate([x[100 - n : 100][::-1], x[105 : 105 + n]])[None, :].astype("<u2")
+        has = np.ones((1, 2 * n), bool)
+        (on,) = chaining.runs_on(around(a), has, around(b), has)
+        matching = chaining.align(a, b, [(100, 100, 5)])[4]
+        assert on or matching < chaining.MATCHING
+        kept, dropped = kept + on, dropped + (not on)
+    assert kept > 50 and dropped > 50
 
 
 def test_chaining_finds_fuzzy_passages(make, corpus):
@@ -185,3 +202,39 @@ def test_chaining_finds_fuzzy_passages(make, corpus):
 def test_chaining_edges(make, odd):
     assert [(r.doc_id, r.source_id) for r in chaining.passages(make(odd)).collect()] == [(7, 6)]
     assert chaining.passages(make([])).collect() == []
+
+
+def test_chaining_of_null_and_repeated_ids(make):
+    words = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    shared, other = words("s", 60), words("t", 60)
+    rows = [(None, f"{words('a', 9)} {shared}"), (None, words("n", 80)), (None, f"{shared} {words('b', 20)}"), (4, words("c", 70)), (4, f"{words('d', 30)} {other}"), (4, f"{words('e', 5)} {other}"), (9, other)]
+    found = sorted(((r.doc_id, r.source_id, r.end_word - r.start_word, r.n_matching) for r in chaining.passages(make(rows)).collect()), key=str)
+    assert found == [(4, 4, 60, 60), (9, 4, 60, 60), (9, 4, 60, 60), (None, None, 60, 60)] or found == [(4, 4, 60, 60), (9, 4, 60, 60), (None, None, 60, 60)]
+
+
+def test_chaining_extends_without_a_limit(make):
+    """Two seeds far apart in a long passage whose other seeds lead to a smaller document."""
+    import random
+
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(9000)]
+    rows = [(1, " ".join(long[:4400])), (2, " ".join(long)), (3, " ".join(["x"] * 3 + long))]
+    found = {(r.doc_id, r.source_id): (r.start_word, r.end_word, r.n_matching) for r in chaining.passages(make(rows)).collect()}
+    assert found[3, 2] == (3, 9003, 9000) and found[2, 1] == (0, 4400, 4400)
+
+
+def test_chaining_meets_past_smaller_documents(make):
+    """Recall against passages whose seeds mostly stand singly in smaller documents too."""
+    import random
+
+    rng, rows, pairs = random.Random(4), [], 30
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    passages = [fresh(60) for _ in range(pairs)]
+    for p in passages:
+        for i in range(0, 55, 6):  # ten words of the passage each, in documents of their own
+            rows.append((len(rows), " ".join(fresh(30) + p[i : i + 10] + fresh(30))))
+    for p in passages:
+        rows += [(len(rows) + k, " ".join(fresh(50) + p + fresh(50))) for k in (0, 1)]
+    found = {(r.doc_id, r.source_id) for r in chaining.passages(make(rows)).collect()}
+    wanted = {(len(rows) - 1 - 2 * k, len(rows) - 2 - 2 * k) for k in range(pairs)}
+    assert len(found & wanted) == pairs and found <= wanted

@@ -44,9 +44,20 @@ LENGTH = 50
 SEED = 24
 SPAN = LENGTH - SEED + 1  # grams in a window
 BLOCK_BYTES = 2 << 20
+BLOCK_ROWS = 1 << 16
 SEGMENT = 1 << 19
 NO_ID = np.iinfo(np.int64).max
 
+
+def buckets(spark) -> int:
+    """Four buckets a shuffle partition.  A block sends at most one row a bucket, and at most one a key."""
+    return min(1 << 24, 4 * tasks(spark))
+
+
+def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
+    return (keys >> np.uint64(40)).astype(np.int64) % n
+
+
 # --- blocks ---------------------------------------------------------------------------------
 
 
@@ -56,7 +67,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3)
 
         def row(ids, texts):
-            return pa.RecordBatch.from_arrays([pa.array([(task << 32) + count]), pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([pack.compress(b"".join(texts))], pa.large_binary())], ["block", "ids", "lengths", "texts"])
+            return pa.RecordBatch.from_arrays([pa.array([(task << 24) + count]), pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([pack.compress(b"".join(texts))], pa.large_binary())], ["block", "ids", "lengths", "texts"])
 
         ids, texts, size = [], [], 0
         for batch in batches:
@@ -64,7 +75,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 ids.append(doc)
                 texts.append(text)
                 size += len(text)
-                if size >= BLOCK_BYTES:
+                if size >= BLOCK_BYTES or len(ids) == BLOCK_ROWS:
                     yield row(ids, texts)
                     count, ids, texts, size = count + 1, [], [], 0
         if ids:
@@ -77,7 +88,7 @@ class Keyed:
     """What blocks with 64-bit keys share: ``distinct`` keys, ``of`` (key of each item), ``doc`` and ``order``."""
 
     def buckets(self, n: int) -> np.ndarray:
-        return (self.distinct >> np.uint64(48)).astype(np.int64) % n
+        return bucket_of(self.distinct, n)
 
     def shared_here(self) -> np.ndarray:
         """Which distinct keys lie in two documents of the block."""
@@ -108,9 +119,7 @@ class Block(Keyed):
         parts = [self._frames(a) for a in range(0, max(0, len(self.bytes) - LENGTH + 1), SEGMENT)]
         self.start, self.count, self.anchor = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, t) for k, t in enumerate((np.int64, np.int64, np.uint64)))
         self.doc = np.searchsorted(self.bounds, self.start, "right") - 1
-        bucket, low = self.anchor >> np.uint64(48), self.anchor & np.uint64((1 << 48) - 1)
-        self.high, self.low = bucket.astype(np.int64), low
-        self.distinct, self.of = np.unique(self.anchor, return_inverse=True)  # by high, then low
+        self.distinct, self.of = np.unique(self.anchor, return_inverse=True)
 
     def _frames(self, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Frames of the windows that start in [at, at + SEGMENT)."""
@@ -341,7 +350,7 @@ def _compare(blocks: DataFrame, bits: DataFrame, n: int) -> DataFrame:
             for number, block, row in _open(batch):
                 frames = block.found([(x["bucket"], x["bits"]) for x in row["bits"]], n)
                 first, _, least = block.strings(frames)
-                buckets = block.high[first] % n
+                buckets = bucket_of(block.anchor[first], n)
                 rows = [[], [], [], [], []]
                 for bucket in np.unique(buckets):
                     mine = np.flatnonzero(buckets == bucket)
@@ -388,7 +397,7 @@ def _mark(block: Block, row: dict, n: int) -> np.ndarray:
         late = frames[~mine]  # a smaller document of this block has the whole frame
         np.add.at(step, block.start[late], 1)
         np.add.at(step, block.start[late] + block.count[late] + LENGTH - 1, -1)
-        buckets = block.high[first] % n
+        buckets = bucket_of(block.anchor[first], n)
         begin, length, content = [], [], []
         by_bucket = np.argsort(buckets, kind="stable")
         edges = np.searchsorted(buckets[by_bucket], np.arange(n + 1))
@@ -436,7 +445,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "suffix-dedup")
-    n = min(1 << 16, 4 * tasks(spark))
+    n = buckets(spark)
     blocks = scratch.keep(_blocks(docs), "blocks", codec="none")
     bits = scratch.keep(shared_keys(blocks, n), "bits")
     parts = scratch.keep(_compare(blocks, bits, n), "parts")
