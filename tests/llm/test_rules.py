@@ -135,11 +135,12 @@ def test_decontamination(spark, make, odd):
     item = " ".join(f"t{i}" for i in range(30))
     changed = " ".join(f"t{i}" if i % 6 else f"x{i}" for i in range(30))
     rows = [(1, f"before {item} after"), (2, f"so {changed} it goes"), (3, " ".join(f"t{i}" for i in range(11))), (4, " ".join(f"q{i}" for i in range(90))), (5, item.upper())]
-    bench = spark.createDataFrame([(7, item), (8, "too short"), (9, None), (None, "a b c d e f g h i j k l m n o p")], "item_id long, text string")
+    rows += [(None, f"x {item}"), (4, item), (6, "what is the Capital of x"), (8, "is too short to go"), (9, "what is the")]
+    bench = spark.createDataFrame([(7, item), (8, "too short"), (9, None), (None, "a b c d e f g h i j k l m n o p"), (10, "is the capital of x")], "item_id long, text string")
     found = {(r.doc_id, r.item_id): (r.doc_start, r.n_words, r.n_matching) for r in decontamination.leaks(make(rows + [(i + 50 if i else i, t) for i, t in odd]), bench).collect()}
-    assert found == {(1, 7): (1, 30, 30), (2, 7): (2, 29, 25), (5, 7): (0, 30, 30)}
+    assert found == {(1, 7): (1, 30, 30), (2, 7): (2, 29, 25), (5, 7): (0, 30, 30), (None, 7): (1, 30, 30), (4, 7): (0, 30, 30), (6, 10): (1, 5, 5), (8, 8): (1, 2, 2)}
     kept = decontamination.decontaminate(make(rows), bench)
-    assert {r.doc_id for r in kept.collect()} == {3, 4} and len(kept.columns) == 10
+    assert sorted((r.doc_id, r.text[:2]) for r in kept.collect()) == [(3, "t0"), (4, "q0"), (8, "is"), (9, "wh")] and len(kept.columns) == 10
     assert decontamination.leaks(make([]), bench).collect() == [] and decontamination.leaks(make(rows), bench.where("false")).collect() == []
 
 
@@ -216,6 +217,60 @@ def test_mixed_rows(make):
     assert mixing.mixed(make([])).collect() == []
 
 
+def test_masks_find_substituted_passages():
+    """Held against laying every item over every text on all diagonals."""
+    import random
+
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items = [fresh(rng.randint(12, 40)) for _ in range(120)]
+    texts, changed = [], []
+    for item in items:
+        k = rng.choice([0, 1, 2, 3])
+        copy = list(item)
+        for place in rng.sample(range(len(item)), k):
+            copy[place] = "changed"
+        texts.append(fresh(20) + copy + fresh(20))
+        changed.append(k)
+    index = decontamination.Index([(i, " ".join(item)) for i, item in enumerate(items)])
+    words, at = decontamination.hash_words([" ".join(t).encode() for t in texts], lower=True)
+    found = {(f[0], f[1]) for f in index.matches(words, at)}
+    wanted = set()
+    for i in range(len(texts)):
+        for j in range(len(items)):
+            text, item = words[at[i] : at[i + 1]], index.words[index.at[j] : index.at[j + 1]]
+            if any(decontamination.Index.overlap(text, item, line) for line in range(1 - len(item), len(text))):
+                wanted.add((i, j))
+    assert found <= wanted and len(found) >= 0.97 * len(wanted) and len(wanted) > 100
+    assert all((i, i) in found for i, k in enumerate(changed) if not k)
+
+
+def test_importance_is_the_ratio_of_the_models(spark, make):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"{'gb'[i % 2]}{rng.randrange(50)}" for _ in range(rng.randint(1, 40)))) for i in range(80)]
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    found = {r.doc_id: r for r in importance.resample(make(rows), labels, share=0.5).collect()}
+    grams = {}
+    for i, text in rows:
+        values, _ = importance._buckets([text.encode()])
+        assert len(values) == 2 * len(text.split()) - 1
+        grams[i] = values.tolist()
+    raw, target = Counter(), Counter()
+    for i, values in grams.items():
+        raw.update(values)
+        target.update(values if i < 60 and i % 2 == 0 else ())
+    n = importance.BUCKETS
+    log_p = lambda counts, b: np.log((counts[b] + 1) / (sum(counts.values()) + n))
+    for i, values in grams.items():
+        assert found[i].log_importance == pytest.approx(sum(log_p(target, b) - log_p(raw, b) for b in values))
+    noise = np.array([found[i].noisy - found[i].log_importance for i in grams])
+    assert -2 < noise.min() and abs(noise.mean() - 0.577) < 0.5 and len(set(noise)) == len(rows)
+    ranked = sorted(grams, key=lambda i: -found[i].noisy)
+    assert {i for i in grams if found[i].kept} == set(ranked[:40])
+
+
 def test_importance(spark, make, odd):
     import random
 

@@ -1,10 +1,10 @@
 """Operator 1: quality by importance resampling.
 
 Two generative models over words and word pairs, hashed into BUCKETS, are estimated: one from all
-texts (raw), one from texts labelled good (target).  A text's log importance is the mean over its
-n-grams of log target / raw.  Gumbel noise, a hash of ``doc_id``, is added to SHARPNESS times that,
-and the ``share`` of documents with the largest sums is taken: a sample without replacement with
-odds in proportion to importance ** SHARPNESS.
+texts (raw), one from texts labelled good (target).  A text's log importance is the log ratio of its
+probability under the two: the sum over its n-grams of log target / raw.  Gumbel noise, a hash of
+``doc_id``, is added to that, and the ``share`` of documents with the largest sums is taken: a sample
+without replacement with odds in proportion to importance.
 
 The raw model counts every document.  The target model uses at most TARGET_ROWS labelled rows,
 those of smallest hash of ``doc_id``.  The cut between taken and not is found by counting sums in
@@ -29,7 +29,6 @@ from .words import column_bytes, hash_words, mix64
 BUCKETS = 1 << 14
 TARGET_ROWS = 20_000
 SHARE = 0.85
-SHARPNESS = 100.0
 BINS = 4096
 SEED = 17
 
@@ -80,8 +79,7 @@ def importance(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             values, owners = _buckets(column_bytes(batch.column(1)))
             counts = np.bincount(owners, minlength=n)
             sums = np.bincount(owners, weights=shared.value[values], minlength=n)
-            mean = [float(s / c) if c else None for s, c in zip(sums, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts.astype(np.int64)), pa.array(mean, pa.float64())], ["doc_id", "n_ngrams", "log_importance"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts.astype(np.int64)), pa.array(sums, pa.float64(), mask=counts == 0)], ["doc_id", "n_ngrams", "log_importance"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, n_ngrams long, log_importance double")
 
@@ -112,7 +110,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE) -> DataFr
     scratch = Scratch(spark, "importance")
     scored = importance(docs, models(docs, labels))
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    noisy = scored.withColumn("noisy", F.col("log_importance") * SHARPNESS - F.log(-F.log(uniform)))
+    noisy = scored.withColumn("noisy", F.col("log_importance") - F.log(-F.log(uniform)))
     keyed = noisy.withColumn("q", F.floor(F.col("noisy") * float(1 << 32))).withColumn("tie", F.xxhash64("doc_id", F.lit(SEED + 1)))
     keyed = scratch.keep(keyed, "keyed")
     usable = keyed.where("q is not null")
