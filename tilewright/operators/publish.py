@@ -28,7 +28,7 @@ def tile_entries(spark: SparkSession, root: str) -> DataFrame:
     """``rel_path, sha256, len, z`` of every tile file below ``root``, manifests aside."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pbf").load(root)
     rel = F.regexp_extract("path", r"/([0-9]+/[0-9]+/[0-9]+\.pbf)$", 1)
-    return files.where(~F.col("path").contains("/_manifest/")).select(rel.alias("rel_path"), F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("bigint").alias("len"), F.split_part(rel, F.lit("/"), F.lit(1)).cast("int").alias("z"))
+    return files.where(~F.col("path").contains("/_manifest/")).select(rel.alias("rel_path"), F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("sha256"), F.octet_length("content").cast("bigint").alias("len"), F.split_part(rel, F.lit("/"), F.lit(1)).cast("int").alias("z"))
 
 
 def aggregate_checksum() -> Column:

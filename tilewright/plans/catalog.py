@@ -269,9 +269,9 @@ def event_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.first_events(marked, "fp", "ts", "event_id").select("fp", "event_id")
 
 
-@register("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)")
+@register("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)")
 def orphan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("user_id"))
+    known = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
     return jobs.orphans(table(spark, sf_dir, "events").select("event_id", "user_id"), known, "user_id")
 
 
@@ -369,10 +369,10 @@ def version_lag_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.version_chain(published).select("layer_id", "version", "previous_version")
 
 
-@register("SELECT s_suppkey AS layer_id, z::INTEGER AS z FROM supplier, unnest(generate_series(0, 8)) AS t(z) EXCEPT SELECT l_suppkey, (l_quantity::INTEGER % 9)::INTEGER FROM lineitem WHERE l_orderkey % 50 = 0")
+@register("SELECT s_suppkey AS layer_id, z::INTEGER AS z FROM supplier, unnest(generate_series(0, 12)) AS t(z) EXCEPT SELECT l_suppkey, (l_quantity::INTEGER % 9)::INTEGER FROM lineitem")
 def missing_zooms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("layer_id"), F.explode(F.sequence(F.lit(0), F.lit(8))).alias("z"))
-    present = table(spark, sf_dir, "lineitem").where("l_orderkey % 50 = 0").select(F.col("l_suppkey").alias("layer_id"), (F.col("l_quantity").cast("int") % 9).alias("z")).distinct()
+    expected = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("layer_id"), F.explode(F.sequence(F.lit(0), F.lit(12))).alias("z"))
+    present = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("layer_id"), (F.col("l_quantity").cast("int") % 9).alias("z")).distinct()
     return expected.exceptAll(present)
 
 

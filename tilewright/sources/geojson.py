@@ -66,7 +66,8 @@ def scan(texts: DataFrame) -> DataFrame:
     each = listed.where("_f is not null").select("path", F.posexplode("_f").alias("ord", "_f"))
     raw = each.select("path", "ord", F.get_json_object("_f", "$.id").alias("_id"), F.get_json_object("_f", "$.geometry").alias("_g"), F.get_json_object("_f", "$.properties").alias("_p"), F.col("_f")).where("_g is not null")
     geom = to_geometry(F.col("_g"))
-    identity = F.when(F.col("_id").rlike("^[0-9]{1,20}$") & ~F.col("_f").rlike(r'"id"\s*:\s*"'), F.expr("try_cast(_id as decimal(20,0))"))
+    number = F.schema_of_variant(F.variant_get(F.parse_json("_f"), "$.id", "variant")) != "STRING"
+    identity = F.when(F.col("_id").rlike("^[0-9]{1,20}$") & number, F.expr("try_cast(_id as decimal(20,0))"))
     read = raw.select("path", "ord", identity.alias("id"), geom.alias("geom"), F.coalesce(json_values(F.col("_p")), F.create_map().cast("map<string,string>")).alias("props"))
     checked = read.withColumn("error_code", F.when(F.col("geom").isNull() | ~geometry.all_in_range(F.col("geom")), F.lit("INVALID_GEOJSON")))
     return checked.unionByName(bad)
@@ -78,6 +79,26 @@ def features(scanned: DataFrame) -> DataFrame:
     return scanned.join(failed, "path", "left_anti").drop("error_code")
 
 
+def write_collection(features_: DataFrame, path: str) -> None:
+    """One FeatureCollection with its box at ``path``: executors write the features, the driver the frame around them.
+
+    Features are lines of part files in order of ``ord``; the first part opens the collection and the last closes it.
+    """
+    box = features_.select(geometry.bbox(F.col("geom")).alias("b")).agg(F.min("b.min_x"), F.min("b.min_y"), F.max("b.max_x"), F.max("b.max_y")).first()
+    frame = '{"type":"FeatureCollection","bbox":' + ("null" if box[0] is None else "[" + ",".join(repr(float(v)) for v in box) + "]") + ',"features":['
+    spark, text = features_.sparkSession, write_text(features_)
+    last = text.agg(F.max("ord")).first()[0]
+    lines = text.select("ord", F.concat("value", F.when(F.col("ord") != last, F.lit(",")).otherwise(F.lit(""))).alias("value"))
+    ends = spark.createDataFrame([(-(1 << 62), frame), (1 << 62, "]}")], "ord long, value string")
+    lines.select(F.col("ord").cast("long"), "value").unionByName(ends).orderBy("ord").select("value").write.mode("overwrite").text(path)
+
+
+def read_collection(spark: SparkSession, path: str) -> DataFrame:
+    """``path, text`` of what ``write_collection`` wrote, the parts put together again."""
+    parts = spark.read.text(path).select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"), "value")
+    return parts.agg(F.array_sort(F.collect_list(F.struct("f", "i", "value"))).alias("v")).select(F.lit(path).alias("path"), F.array_join(F.transform("v", lambda x: x["value"]), "\n").alias("text"))
+
+
 def write_text(features_: DataFrame) -> DataFrame:
     """``ord, value``: each feature as one GeoJSON text (properties are JSON texts already)."""
     pair = lambda c: F.array(c["x"], c["y"])

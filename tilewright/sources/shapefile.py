@@ -64,7 +64,7 @@ def group_rings(rings: list[list[tuple[float, float]]]) -> list[list[list[tuple[
     polygons: list = []
     for ring in rings:
         area = ring_area2(ring) if len(ring) >= 4 else 0.0
-        if abs(area) <= 2 * 2.220446049250313e-16:
+        if abs(area) <= 2.220446049250313e-16:
             continue
         if area < 0 or not polygons:
             polygons.append([ring])
@@ -95,8 +95,8 @@ def _shape(body: bytes) -> tuple[str | None, list | None]:
     if kind in POINTS:
         return "Point", [[[struct.unpack_from("<2d", body, 4)]]]
     if kind in MULTIPOINTS:
-        n = struct.unpack_from("<i", body, 36)[0]
-        return "MultiPoint", [[_points(body, 40, n)]]
+        points = _points(body, 40, struct.unpack_from("<i", body, 36)[0])
+        return ("MultiPoint", [[points]]) if points else (None, None)
     if kind not in LINES + POLYGONS:
         raise ShapefileError("INVALID_SHAPEFILE", f"unsupported shape type {kind}")
     n_parts, n_points = struct.unpack_from("<2i", body, 36)
@@ -104,9 +104,12 @@ def _shape(body: bytes) -> tuple[str | None, list | None]:
         raise ShapefileError("INVALID_SHAPEFILE", "implausible part count")
     starts = [*struct.unpack_from(f"<{n_parts}i", body, 44), n_points]
     points = _points(body, 44 + 4 * n_parts, n_points)
+    if any(not 0 <= a <= b <= n_points for a, b in zip(starts[:-1], starts[1:], strict=True)):
+        raise ShapefileError("INVALID_SHAPEFILE", "corrupt part offsets")
     lines = [points[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
     if kind in LINES:
-        return "MultiLineString", [lines]
+        lines = [line for line in lines if len(line) >= 2]
+        return ("MultiLineString", [lines]) if lines else (None, None)
     polygons = group_rings(lines)
     if not polygons:
         return None, None
