@@ -82,6 +82,60 @@ def replay_eligible(code: Column) -> Column:
     return F.coalesce(code.isin(*TRANSIENT) | (code == "UNKNOWN_CRS"), F.lit(False))
 
 
+# What to do about an error code.
+REMEDIATION = {
+    "INVALID_FILE_TYPE": "Match fileName/content-Type to the declared sourceFormat (.geojson/.json or .zip).",
+    "MISSING_SHAPEFILE_COMPONENTS": "Upload a zipped Shapefile containing .shp, .shx, .dbf, and .prj.",
+    "INVALID_SHAPEFILE": "Re-export the Shapefile; verify the bundle opens in a GIS tool.",
+    "INVALID_GEOJSON": "Validate against RFC 7946; split GeometryCollections into typed features.",
+    "EMPTY_DATASET": "Provide a non-empty feature collection.",
+    "UNSUPPORTED_CRS": "Reproject the source to EPSG:4326 (WGS84) before upload.",
+    "UNKNOWN_CRS": "Re-upload with a .prj file, or replay after confirming WGS84.",
+    "GEOMETRY_ERRORS": "Repair the flagged geometries (degenerate rings, non-finite coordinates) and re-upload.",
+    "ENCODING_ERROR": "Re-export DBF attributes as UTF-8.",
+    "PAYLOAD_TOO_LARGE": "Split the upload below the size limit.",
+    "FILE_TOO_LARGE": "Split the dataset below the 1,000,000-feature cap.",
+    "TILE_SIZE_EXCEEDED": "Inspect the candidate version; adjust the property policy or source density.",
+    "TILE_GENERATION_FAILED": "Inspect the candidate version; adjust the property policy or source density.",
+    "PUBLISH_VALIDATION_FAILED": "Inspect the candidate version; adjust the property policy or source density.",
+}
+RETRY_TEXT = "Transient failure: retry; it is redriven automatically in production."
+REVIEW_TEXT = "Inspect the failure report; permanent failures need corrected source data, unknown failures need manual review."
+CRS_LABELS = {"WGS84": "EPSG:4326", "NAD83": "EPSG:4269 (treated as EPSG:4326)", "WEB_MERCATOR": "EPSG:3857", "UNSUPPORTED": "UNSUPPORTED", "UNKNOWN": "UNKNOWN"}
+
+
+def remediation(code: Column) -> Column:
+    """What an operator is told about an error code."""
+    return F.when(code.isin(*TRANSIENT), RETRY_TEXT).otherwise(lookup(REMEDIATION, code, F.lit(REVIEW_TEXT)))
+
+
+def category_label(category: Column) -> Column:
+    """A bounded metric label: one of the categories, else OTHER."""
+    return F.when(category.isin(*ZOOMS), category).otherwise("OTHER")
+
+
+def crs_label(kind: Column) -> Column:
+    return lookup(CRS_LABELS, kind, F.lit("UNKNOWN"))
+
+
+def minted(prefix: str) -> Column:
+    """A new id for each row: ``job_``, ``evt_``, ``replay_``, ``auto_`` or ``audit_`` and 32 hexadecimal digits."""
+    return F.concat(F.lit(f"{prefix}_"), F.replace(F.uuid(), F.lit("-"), F.lit("")))
+
+
+def trace_id() -> Column:
+    return F.replace(F.uuid(), F.lit("-"), F.lit(""))
+
+
+def span_id() -> Column:
+    return F.left(trace_id(), F.lit(16))
+
+
+def source_hash(content: Column) -> Column:
+    """Lower-case SHA-256 of a payload."""
+    return F.sha2(content, 256)
+
+
 def fingerprint(kind: str, *parts: Column) -> Column:
     """``sha256:`` and the hash of kind and parts, separated by NUL; null parts are empty."""
     texts = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]

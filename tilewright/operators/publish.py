@@ -17,11 +17,16 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .errors import PipelineError
 
-class PublishError(RuntimeError):
-    def __init__(self, code: str, text: str = ""):
-        super().__init__(f"{code} {text}".strip())
-        self.code = code
+# Names in a version's and a layer's folder.
+URL_TEMPLATE = "/tiles/{tenant}/{layer}/versions/{{tileVersion}}/{{z}}/{{x}}/{{y}}.pbf"
+CANDIDATE, SUCCESS = "_manifest/candidate.json", "_SUCCESS"
+LOCK_SECONDS = 60.0
+
+
+class PublishError(PipelineError):
+    """A refused publication."""
 
 
 def tile_entries(spark: SparkSession, root: str) -> DataFrame:
@@ -79,6 +84,10 @@ class Registry:
                 os.close(os.open(lock, os.O_CREAT | os.O_EXCL))
                 break
             except FileExistsError:
+                with contextlib.suppress(FileNotFoundError):  # its owner may have let go meanwhile
+                    if time.time() - lock.stat().st_mtime > LOCK_SECONDS:  # an owner that died
+                        lock.unlink()
+                        continue
                 if time.monotonic() > until:
                     raise PublishError("PROMOTION_CONFLICT", "locked") from None
                 time.sleep(0.02)
@@ -120,6 +129,64 @@ class Registry:
             return self._write(tenant, layer, new, {"eventType": "LAYER_ROLLED_BACK", "version": version, "actor": actor, "reason": reason, "occurredAt": now.isoformat()})
 
 
+def candidate_manifest(entries: DataFrame, job: dict, version: str, summary: dict, now: datetime, crs: str = "EPSG:4326", tile_root: str = "") -> dict:
+    """What a finished set of tiles claims to be; ``verify`` holds the tiles against it."""
+    found = entries.agg(F.count("*").alias("n"), F.coalesce(F.sum("len"), F.lit(0)).alias("bytes"), aggregate_checksum().alias("checksum")).first()
+    return {
+        "schemaVersion": 1, "tenantId": job["tenantId"], "layerId": job["layerId"], "tileVersion": version, "status": "CANDIDATE", "sourceJobId": job["jobId"], "sourceFormat": job.get("sourceFormat", "GEOJSON"), "crs": crs,
+        "minZoom": summary["minZoom"], "maxZoom": summary["maxZoom"], "featureCount": summary["featureCount"], "tileCount": found.n, "totalGzipBytes": found.bytes, "boundingBox": summary["boundingBox"],
+        "generatedAt": now.astimezone(timezone.utc).isoformat(), "checksumAlgorithm": "sha256", "aggregateChecksum": found.checksum, "tileRoot": tile_root,
+    }
+
+
+def url_template(tenant: Column, layer: Column) -> Column:
+    return F.concat(F.lit("/tiles/"), tenant, F.lit("/"), layer, F.lit("/versions/{tileVersion}/{z}/{x}/{y}.pbf"))
+
+
+def tile_manifests(candidates: DataFrame) -> DataFrame:
+    """The reader's view of candidate manifests."""
+    kept = [c for c in ("schemaVersion", "tenantId", "layerId", "tileVersion", "minZoom", "maxZoom", "tileCount", "totalGzipBytes", "boundingBox", "generatedAt") if c in candidates.columns]
+    return candidates.select(*kept, url_template(F.col("tenantId"), F.col("layerId")).alias("tileUrlTemplate"))
+
+
+def tile_manifest(candidate: dict) -> dict:
+    """``tile_manifests`` of one."""
+    kept = ("schemaVersion", "tenantId", "layerId", "tileVersion", "minZoom", "maxZoom", "tileCount", "totalGzipBytes", "boundingBox", "generatedAt")
+    return {k: candidate[k] for k in kept} | {"tileUrlTemplate": URL_TEMPLATE.format(tenant=candidate["tenantId"], layer=candidate["layerId"])}
+
+
+def write_candidate(files, root: str, candidate: dict) -> None:
+    """``candidate.json`` of a version below ``root`` (of ``stores.Files``), whole or not at all."""
+    files.write(f"{root}/{CANDIDATE}", json.dumps(candidate).encode())
+
+
+def read_candidate(files, root: str) -> dict | None:
+    data = files.read(f"{root}/{CANDIDATE}")
+    return json.loads(data) if data else None
+
+
+def write_pointers(files, candidate: dict) -> None:
+    """``manifest.json`` and ``latest.json`` of the layer."""
+    for name in ("manifest", "latest"):
+        files.write(f"manifests/{candidate['tenantId']}/{candidate['layerId']}/{name}.json", json.dumps(tile_manifest(candidate)).encode())
+
+
+def promote_version(stores, root: str, registry: Registry, actor: str, now: datetime, expected: str | None) -> dict:
+    """Verify the candidate below ``root``, swap the pointer, then write pointers, marker and event.
+
+    A failure before the swap leaves the version before in place.
+    """
+    from .stores import Files
+
+    files = Files(stores.spark, stores.root)
+    candidate = read_candidate(files, root)
+    record = publish(tile_entries(stores.spark, f"{stores.root}/{root}"), candidate, registry, actor, now, expected)
+    write_pointers(files, candidate)
+    files.write(f"{root}/{SUCCESS}", record["updatedAt"].encode())
+    stores.emit("vector.tile.version.promoted", now, tenantId=candidate["tenantId"], layerId=candidate["layerId"], jobId=candidate["sourceJobId"], fromTileVersion=expected, toTileVersion=candidate["tileVersion"], actor=actor)
+    return record
+
+
 def publish(entries: DataFrame, manifest: dict | None, registry: Registry, actor: str, now: datetime, expected: str | None) -> dict:
     """Verify, then swap the pointer."""
     verify(entries, manifest)
