@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from tilewright.plans import catalog
+from tilewright.plans import catalog, operations  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
