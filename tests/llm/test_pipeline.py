@@ -40,6 +40,36 @@ def test_stages_by_hand(spark):
     assert corpus_pipeline.run(spark, DATA).count() == docs.count()
 
 
+def test_stages_take_odd_rows(spark, make, odd, tmp_path):
+    """Null, empty, repeated, very long texts, null and repeated ids, and columns named as the operators' own."""
+    words = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    rows = [*odd, (1, words("a", 40)), (1, words("b", 40)), (1, words("b", 40)), (None, words("a", 40)), (None, "grobnik " * 9), (21, words("t", 30)), (None, words("t", 30)), (22, words("t", 30) + " x"), (23, words("c", 25))]
+    letters = "abcdefghijklmnopqrst"
+    own = lambda i, k: f"{letters[i % 20]}{letters[i // 20]}{letters[k]}ora"
+    rows += [(100 + i, " ".join(w for k in range(14) for w in ([own(i, k), "grobnik"] if i % 2 and k % 4 == 1 else [own(i, k)]))) for i in range(40)]
+    docs = make(rows).withColumnsRenamed({"block": "copies", "value": "_copy", "row": "set_key", "rep": "kept"})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(100 + i, 1, i % 2) for i in range(40)] + [(None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, words("t", 30)), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    key = lambda r: (r.doc_id, (r.text or "")[:6])
+    seen, now = {}, docs
+    for name, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, str(tmp_path)).cache()
+        assert name == "token_ids" or now.columns == docs.columns, name
+        seen[name] = [key(r) for r in now.collect()] if name != "token_ids" else [r.doc_id for r in now.collect()]
+    assert (None, "grobni") not in seen["toxicity"] and not any(i and i >= 100 and i % 2 for i, _ in seen["toxicity"])
+    assert sum(i is not None and i >= 100 for i, _ in seen["toxicity"]) == 20
+    near = seen["near_dedup"]
+    assert near.count((1, "a0 a1 ")) == near.count((1, "b0 b1 ")) == 1 and (None, "a0 a1 ") in near and (2, "") in near and (7, "w") not in [(i, t[:1]) for i, t in near]
+    assert (21, "t0 t1 ") in near and (22, "t0 t1 ") not in near
+    assert not any(t == "t0 t1 " for _, t in seen["decontamination"]) and (23, "c0 c1 ") in seen["decontamination"]
+    assert set(seen["mixing"]) <= set(seen["decontamination"]) and not any(t in ("", " ") for _, t in seen["mixing"])
+    assert len(seen["token_ids"]) == len(seen["mixing"])
+    empty = make([])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).collect() == [], name
+
+
 def test_nothing_else_imports_the_subpackage():
     root = Path(__file__).parents[2] / "tilewright"
     for path in root.rglob("*.py"):

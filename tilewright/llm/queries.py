@@ -70,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_line_rules": oracles.OP5_LINE_RULES}
+ORACLE_SQL: dict[str, str] = {"op5_line_rules": oracles.OP5_LINE_RULES, "op9_near_dedup": oracles.OP9_NEAR_DEDUP}
