@@ -27,6 +27,14 @@ def varint(value: int) -> bytes:
     return bytes(out)
 
 
+_SMALL = [varint(n) for n in range(1 << 14)]
+
+
+def packed(values: list[int]) -> bytes:
+    """Varints of unsigned values, end to end."""
+    return b"".join([_SMALL[v] if v < 1 << 14 else varint(v) for v in values])
+
+
 def field(number: int, payload: bytes) -> bytes:
     return varint(number << 3 | 2) + varint(len(payload)) + payload
 
@@ -186,6 +194,7 @@ class Layer:
         self.name, self.extent = name, extent
         self.keys: dict[str, int] = {}
         self.values: dict[bytes, int] = {}
+        self.interned: dict[tuple[type, object], int] = {}
         self.features: list[bytes] = []
 
     def add(self, feature_id: int | None, kind: str, commands: list[int], properties: dict) -> None:
@@ -194,11 +203,15 @@ class Layer:
         tags: list[int] = []
         for key in sorted(properties, key=str.encode):
             tags.append(self.keys.setdefault(key, len(self.keys)))
-            tags.append(self.values.setdefault(encode_value(properties[key]), len(self.values)))
+            value = properties[key]
+            of = self.interned.get((value.__class__, value))
+            if of is None:
+                of = self.interned[value.__class__, value] = self.values.setdefault(encode_value(value), len(self.values))
+            tags.append(of)
         message = b"" if feature_id is None else uint_field(1, feature_id)
         if tags:
-            message += field(2, b"".join(map(varint, tags)))
-        message += uint_field(3, GEOM_TYPES[kind]) + field(4, b"".join(map(varint, commands)))
+            message += field(2, packed(tags))
+        message += uint_field(3, GEOM_TYPES[kind]) + field(4, packed(commands))
         self.features.append(message)
 
     def encode(self) -> bytes:

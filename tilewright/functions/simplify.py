@@ -2,9 +2,37 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 
+#: Lines of so few vertices are walked in Python; an array operation costs more there.
+SHORT = 48
+
+
+def _short_line(coords: list[tuple[float, float]], epsilon: float) -> list[tuple[float, float]]:
+    """``simplify_line`` of a few vertices."""
+    keep = [False] * len(coords)
+    keep[0] = keep[-1] = True
+    stack = [(0, len(coords) - 1)]
+    while stack:
+        a, b = stack.pop()
+        (ax, ay), (bx, by) = coords[a], coords[b]
+        dx, dy = bx - ax, by - ay
+        length2, most, far = dx * dx + dy * dy, epsilon, 0
+        for i in range(a + 1, b):
+            ox, oy = coords[i][0] - ax, coords[i][1] - ay
+            t = min(1.0, max(0.0, (ox * dx + oy * dy) / length2)) if length2 else 0.0
+            away = math.hypot(ox - t * dx, oy - t * dy)
+            if away > most:
+                most, far = away, i
+        if far:
+            keep[far] = True
+            stack += [(a, far), (far, b)]
+    return [c for c, kept in zip(coords, keep, strict=True) if kept]
+
+
 def simplify_line(coords: np.ndarray, epsilon: float) -> np.ndarray:
     """Vertices kept: both ends, and where the farthest from a chord is more than ``epsilon`` away."""
     n = len(coords)
@@ -35,6 +63,8 @@ def simplify(kind: str, parts: list, epsilon: float) -> list | None:
         return parts
 
     def line(coords):
+        if len(coords) <= SHORT:
+            return _short_line(coords, epsilon) if len(coords) > 2 else coords
         return [tuple(c) for c in simplify_line(np.asarray(coords, float).reshape(-1, 2), epsilon).tolist()]
 
     if kind in ("LineString", "MultiLineString"):

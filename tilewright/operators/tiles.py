@@ -6,6 +6,7 @@ feature, so choose ``min_zoom`` for the data.
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 from dataclasses import dataclass
@@ -48,19 +49,32 @@ def prepare(features: DataFrame) -> DataFrame:
     return found.withColumns(world).drop("_b")
 
 
-def typed(props: dict[str, str]) -> dict:
-    """Tile values of JSON-encoded properties: integers, doubles, booleans, text; nulls go, the rest is JSON text."""
-    out = {}
-    for key, raw in props.items():
-        value = json.loads(raw)
-        if value is None:
-            continue
-        if isinstance(value, (list, dict)):
-            value = json.dumps(value, separators=(",", ":"), ensure_ascii=False)
-        elif isinstance(value, int) and not isinstance(value, bool) and not -(1 << 63) <= value < 1 << 64:
-            value = float(value)
-        out[key] = value
-    return out
+@functools.lru_cache(1 << 14)
+def tile_value(raw: str):
+    """Tile value of a JSON-encoded property: integer, double, boolean or text; null is none, the rest is JSON text."""
+    value = json.loads(raw)
+    if isinstance(value, (list, dict)):
+        return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+    if isinstance(value, int) and not isinstance(value, bool) and not -(1 << 63) <= value < 1 << 64:
+        return float(value)
+    return value
+
+
+def typed(props) -> dict:
+    """Tile values of (key, JSON text) pairs; nulls go."""
+    return {key: value for key, raw in props if (value := tile_value(raw)) is not None}
+
+
+def nested(shape: list[list[int]], xs: list[float], ys: list[float]) -> list[list[list[tuple[float, float]]]]:
+    """Parts of a geometry from the sizes of their lines and all coordinates."""
+    points, parts, at = list(zip(xs, ys, strict=True)), [], 0
+    for sizes in shape:
+        lines = []
+        for n in sizes:
+            lines.append(points[at : at + n])
+            at += n
+        parts.append(lines)
+    return parts
 
 
 def build_tile(z: int, x: int, y: int, rows: list[dict], config: TileConfig) -> dict | None:
@@ -99,6 +113,7 @@ def build_tile(z: int, x: int, y: int, rows: list[dict], config: TileConfig) ->
             return {"z": z, "x": x, "y": y, "data": data, "raw_bytes": len(raw), "gzip_bytes": len(data), "instances": instances, "dropped": dropped, "mitigated": not fits or mode != "full" or extra or dropped > 0}
 
 
+@functools.lru_cache(1 << 16)
 def world(lon: float, lat: float) -> tuple[float, float]:
     phi = math.radians(max(-tilemath.MAX_LATITUDE, min(tilemath.MAX_LATITUDE, lat)))
     wx, wy = (lon + 180.0) / 360.0, (1.0 - math.log(math.tan(phi) + 1.0 / math.cos(phi)) / math.pi) / 2.0
@@ -111,7 +126,11 @@ TILE = "z int, x long, y long, data binary, raw_bytes long, gzip_bytes long, ins
 def build(features: DataFrame, config: TileConfig = TileConfig()) -> DataFrame:
     """Encoded tiles of ``ord, id, geom, props`` (props: JSON-encoded values); empty tiles give no row."""
     ready = prepare(features).withColumns({"full": properties.tile_properties(F.col("props")), "core": properties.tile_properties(F.col("props"), "core")})
-    placed = assign(ready.select("ord", "id", "geom", "vertices", "full", "core", "wx0", "wy0", "wx1", "wy1"), config.min_zoom, config.max_zoom, config.extent, config.buffer)
+    coords = geometry.vertices(F.col("geom"))
+    # flat arrays of doubles are much cheaper to take over into Python than nested structs
+    shape = F.transform("geom.parts", lambda p: F.transform(p, F.size))
+    flat = ready.select("ord", "id", F.col("geom.kind").alias("kind"), shape.alias("shape"), F.transform(coords, lambda c: c["x"]).alias("xs"), F.transform(coords, lambda c: c["y"]).alias("ys"), "vertices", "full", "core", "wx0", "wy0", "wx1", "wy1")
+    placed = assign(flat, config.min_zoom, config.max_zoom, config.extent, config.buffer)
     schema = pa.schema([("z", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("data", pa.binary()), ("raw_bytes", pa.int64()), ("gzip_bytes", pa.int64()), ("instances", pa.int64()), ("dropped", pa.int64()), ("mitigated", pa.bool_())])
 
     def run(batches):
@@ -127,8 +146,7 @@ def build(features: DataFrame, config: TileConfig = TileConfig()) -> DataFrame:
                 if (r["z"], r["x"], r["y"]) != at:
                     out += encoded()
                     at, rows = (r["z"], r["x"], r["y"]), []
-                parts = [[[(c["x"], c["y"]) for c in line] for line in p] for p in r["geom"]["parts"]]
-                rows.append({"id": None if r["id"] is None else int(r["id"]), "kind": r["geom"]["kind"], "parts": parts, "vertices": r["vertices"], "full": typed(dict(r["full"])), "core": typed(dict(r["core"]))})
+                rows.append({"id": None if r["id"] is None else int(r["id"]), "kind": r["kind"], "parts": nested(r["shape"], r["xs"], r["ys"]), "vertices": r["vertices"], "full": typed(r["full"]), "core": typed(r["core"])})
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
         yield pa.RecordBatch.from_pylist(encoded(), schema=schema)
