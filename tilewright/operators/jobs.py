@@ -43,9 +43,10 @@ def ingest_decision(status: Column, seen: Column) -> Column:
 
 
 def first_events(events: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first event of each key."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return events.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    """The first event of each key, by partial aggregation: a task sends one row a key, however many repeats there are."""
+    rest = [c for c in events.columns if c != key]
+    first = events.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+    return first.select(key, "_first.*").select(*events.columns)
 
 
 def unseen(events: DataFrame, store: DataFrame, key: str) -> DataFrame:
@@ -67,11 +68,12 @@ def retry_delay(error_class: Column, attempt: Column) -> Column:
     return F.when((error_class == "TRANSIENT") & (attempt < MAX_ATTEMPTS), F.element_at(steps, F.least(attempt + 1, F.lit(len(DELAYS)))))
 
 
-def dead_letters(failures: DataFrame, *order: Column) -> DataFrame:
-    """The latest failure of each job; lost leases and state conflicts are not failures of the job."""
+def dead_letters(failures: DataFrame, *order: str) -> DataFrame:
+    """The failure of each job that is last in ``order``; lost leases and state conflicts are not failures of the job."""
     real = failures.where(~F.coalesce(F.col("error_code").isin("LEASE_CONFLICT", "STATE_CONFLICT"), F.lit(False)))
-    rank = F.row_number().over(Window.partitionBy("job_id").orderBy(*order))
-    return real.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    rest = [c for c in failures.columns if c != "job_id"]
+    last = real.groupBy("job_id").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
+    return last.select("job_id", "_last.*").select(*failures.columns)
 
 
 def replay_decision(status: Column, error_code: Column, replays: Column, new_version: Column) -> Column:

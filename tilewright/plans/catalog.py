@@ -306,7 +306,7 @@ def error_class_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(f"""SELECT job_id, error_code, error_class, event_id FROM (SELECT user_id AS job_id, code AS error_code, {_CLASS} AS error_class, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r
 FROM (SELECT *, {_CODE} AS code FROM events WHERE event_type = 'error') WHERE code <> 'LEASE_CONFLICT') WHERE r = 1""")
 def dlq_latest_per_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.dead_letters(_failures(spark, sf_dir), F.desc("ts"), F.desc("event_id")).select("job_id", "error_code", properties.error_class(F.col("error_code")).alias("error_class"), "event_id")
+    return jobs.dead_letters(_failures(spark, sf_dir), "ts", "event_id").select("job_id", "error_code", properties.error_class(F.col("error_code")).alias("error_class"), "event_id")
 
 
 @register(f"""SELECT decision, count(*) AS n FROM (SELECT CASE WHEN s = 'COMPLETED' AND NOT nv THEN 'NO_OP' WHEN s = 'CANCELLED' THEN 'NOT_ALLOWED' WHEN s NOT IN ('COMPLETED', 'FAILED', 'CANCELLED') THEN 'ALREADY_ACTIVE'
