@@ -27,8 +27,9 @@ def allowed(key: Column, allowlist: tuple[str, ...] | None = None, denylist: tup
 
 def _prefix(entries: Column, size, max_bytes: int, max_fields: int) -> Column:
     """Entries in key order until one would pass the byte or field budget; that one ends the list."""
-    running = F.transform(entries, lambda e, i: F.struct(e.alias("e"), F.aggregate(F.slice(entries, 1, i + 1), F.lit(0), lambda a, x: a + size(x)).alias("total"), i.alias("i")))
-    kept = F.filter(running, lambda r: (r["total"] <= max_bytes) & (r["i"] < max_fields))
+    entries = F.slice(entries, 1, max_fields)  # what lies beyond is never looked at
+    running = F.transform(entries, lambda e, i: F.struct(e.alias("e"), F.aggregate(F.slice(entries, 1, i + 1), F.lit(0), lambda a, x: a + size(x)).alias("total")))
+    kept = F.filter(running, lambda r: r["total"] <= max_bytes)
     return F.map_from_entries(F.transform(kept, lambda r: r["e"]))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry, properties, tilemath
-from ..operators import assign, ingest, jobs, metrics, tiles
+from ..operators import assign, ingest, jobs, metrics, publish, tiles
 from ..sources import geojson
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -383,12 +383,12 @@ FROM q LEFT JOIN tiles ON q.layer_id = tiles.layer_id AND q.z = tiles.z AND q.x
 def tile_lookup_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests for tiles of five layers: 404 no layer, 422 no such tile number, 204 empty, 200."""
     placed = assign.assign(points(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey"), 0, 5)
-    tiles = placed.select((F.col("s_suppkey") % 5).alias("layer_id"), F.col("z").cast("bigint").alias("z"), "x", "y").distinct().withColumn("there", F.lit(True))
-    key = F.col("c_custkey")
-    asked = table(spark, sf_dir, "customer").select((key % 7).alias("layer_id"), (key % 8).alias("z"), (key * 31 % 40).alias("x"), (key * 17 % 40).alias("y"))
-    valid = tilemath.valid_tile(F.col("z"), F.col("x"), F.col("y"), F.lit(0), F.lit(5))
-    status = F.when(F.col("layer_id") > 4, 404).when(~valid, 422).when(F.col("there").isNull(), 204).otherwise(200)
-    return asked.join(tiles, ["layer_id", "z", "x", "y"], "left").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+    tiles = placed.select((F.col("s_suppkey") % 5).alias("layer_id"), F.lit("v1").alias("version"), F.col("z").cast("bigint").alias("z"), "x", "y").distinct().withColumn("data", F.lit(b"tile"))
+    key, tenant = F.col("c_custkey"), F.lit("tenant-a").alias("tenant_id")
+    asked = table(spark, sf_dir, "customer").select(tenant, (key % 7).alias("layer_id"), (key % 8).alias("z"), (key * 31 % 40).alias("x"), (key * 17 % 40).alias("y"))
+    layers = spark.range(5).select(tenant, F.col("id").alias("layer_id"), F.lit(0).alias("min_zoom"), F.lit(5).alias("max_zoom"), F.lit("v0").alias("tile_version"))
+    published = layers.select("tenant_id", "layer_id", F.lit("v1").alias("current_version"))
+    return publish.lookup(asked, layers, published, tiles).groupBy("status").agg(F.count("*").alias("n"))
 
 
 @register("SELECT c_custkey, c_name FROM customer WHERE 'tenant-' || (c_nationkey % 3)::VARCHAR = 'tenant-1'")
