@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import properties
 
 RESERVOIR = 4096
+SALTS = 64
 
 # Fixed values: (rule, severity, metric or numerator, denominators, threshold).
 RULES = (
@@ -33,9 +34,15 @@ def series(samples: DataFrame) -> DataFrame:
 
 
 def latest(samples: DataFrame, key: str, order: str, keep: int = RESERVOIR) -> DataFrame:
-    """The last ``keep`` samples of each series."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
-    return samples.withColumn("_rank", rank).where(F.col("_rank") <= keep).drop("_rank")
+    """The last ``keep`` samples of each series.
+
+    A series is first cut down in SALTS parts, so that no task sorts all samples of a common one.
+    """
+    salted = samples.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(SALTS)))
+    for by in ((key, "_salt"), (key,)):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(order)))
+        salted = salted.withColumn("_rank", rank).where(F.col("_rank") <= keep).drop("_rank")
+    return salted.drop("_salt")
 
 
 def histogram(samples: DataFrame, key: str, value: str, order: str) -> DataFrame:
