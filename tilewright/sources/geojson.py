@@ -45,12 +45,19 @@ def to_geometry(text: Column) -> Column:
 
 def json_values(raw: Column) -> Column:
     """Top-level members of a JSON object as JSON-encoded texts (quotes, 10 and 10.0 stay as they are)."""
-    keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
-    texts = F.from_json(raw, _RAW)
-    document = F.parse_json(raw)
-    quoted = F.transform(keys, lambda k: F.when(F.schema_of_variant(F.variant_get(document, F.concat(F.lit("$['"), k, F.lit("']")), "variant")) == "STRING", F.to_json(F.struct(texts[k].alias("v")))).otherwise(F.coalesce(texts[k], F.lit("null"))))
-    values = F.transform(quoted, lambda v: F.when(v.startswith('{"v":'), F.regexp_extract(v, r'(?s)^\{"v":(.*)\}$', 1)).otherwise(v))
-    return F.map_from_arrays(keys, values)
+    read = F.struct(F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>")).alias("keys"), F.from_json(raw, _RAW).alias("texts"), F.parse_json(raw).alias("document"))
+
+    def values(r: Column) -> Column:
+        keys, texts, document = r["keys"], r["texts"], r["document"]
+        quoted = F.transform(keys, lambda k: F.when(F.schema_of_variant(F.variant_get(document, F.concat(F.lit("$['"), k, F.lit("']")), "variant")) == "STRING", F.to_json(F.struct(texts[k].alias("v")))).otherwise(F.coalesce(texts[k], F.lit("null"))))
+        return F.map_from_arrays(keys, F.transform(quoted, lambda v: F.when(v.startswith('{"v":'), F.regexp_extract(v, r'(?s)^\{"v":(.*)\}$', 1)).otherwise(v)))
+
+    return F.get(F.transform(F.array(read), values), F.lit(0))  # read once, not once a key
+
+
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with ``value``, which no filter above repeats: pushed through projections, they multiply it in the plan."""
+    return rows.select(*[c for c in rows.columns if c != name], F.explode(F.array(value)).alias(name))
 
 
 def scan(texts: DataFrame) -> DataFrame:
@@ -61,16 +68,14 @@ def scan(texts: DataFrame) -> DataFrame:
     kind = F.get_json_object("text", "$.type")
     collection = F.from_json(F.get_json_object("text", "$.features"), "array<string>")
     features = F.when(kind == "FeatureCollection", F.coalesce(collection, F.array().cast("array<string>"))).when(kind == "Feature", F.array(F.col("text"))).when(kind.isin(*geometry.KINDS), F.array(F.to_json(F.struct(F.lit("Feature").alias("type"), F.parse_json("text").alias("geometry")))))
-    listed = texts.withColumn("_f", features)
-    bad = listed.where("_f is null").select("path", F.lit(0).alias("ord"), F.lit(None).cast("decimal(20,0)").alias("id"), F.lit(None).cast(geometry.GEOMETRY).alias("geom"), F.lit(None).cast("map<string,string>").alias("props"), F.lit("INVALID_GEOJSON").alias("error_code"))
-    each = listed.where("_f is not null").select("path", F.posexplode("_f").alias("ord", "_f"))
-    raw = each.select("path", "ord", F.get_json_object("_f", "$.id").alias("_id"), F.get_json_object("_f", "$.geometry").alias("_g"), F.get_json_object("_f", "$.properties").alias("_p"), F.col("_f")).where("_g is not null")
-    geom = to_geometry(F.col("_g"))
+    listed = _once(_once(texts.select("path", "text"), "text", F.col("text")), "_f", features)
+    each = listed.select("path", F.col("_f").isNull().alias("_bad"), F.posexplode(F.coalesce("_f", F.array(F.lit(None).cast("string")))).alias("ord", "_f"))
+    raw = each.select("path", "ord", "_bad", F.get_json_object("_f", "$.id").alias("_id"), F.get_json_object("_f", "$.geometry").alias("_g"), F.get_json_object("_f", "$.properties").alias("_p"), F.col("_f")).where("_bad or _g is not null")
     number = F.schema_of_variant(F.variant_get(F.parse_json("_f"), "$.id", "variant")) != "STRING"
     identity = F.when(F.col("_id").rlike("^[0-9]{1,20}$") & number, F.expr("try_cast(_id as decimal(20,0))"))
-    read = raw.select("path", "ord", identity.alias("id"), geom.alias("geom"), F.coalesce(json_values(F.col("_p")), F.create_map().cast("map<string,string>")).alias("props"))
-    checked = read.withColumn("error_code", F.when(F.col("geom").isNull() | ~geometry.all_in_range(F.col("geom")), F.lit("INVALID_GEOJSON")))
-    return checked.unionByName(bad)
+    props = F.when(~F.col("_bad"), F.coalesce(json_values(F.col("_p")), F.create_map().cast("map<string,string>")))
+    read = _once(raw, "geom", to_geometry(F.col("_g"))).select("path", "ord", identity.alias("id"), "geom", props.alias("props"))
+    return read.withColumn("error_code", F.when(F.col("geom").isNull() | ~geometry.all_in_range(F.col("geom")), F.lit("INVALID_GEOJSON")))
 
 
 def features(scanned: DataFrame) -> DataFrame:
