@@ -18,7 +18,7 @@ TEXTS = {
 }
 
 
-@pytest.mark.parametrize("query", ["read_geojson"])
+@pytest.mark.parametrize("query", ["read_geojson", "geojson_round_trip"])
 def test_plan_is_small(spark, query):
     """4.9 million characters once: filters pushed below the scan repeated the writer for every use of a text."""
     plan = __spark_entry__.queries()[query](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
