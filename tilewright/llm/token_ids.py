@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, small_batches, tasks
-from .words import column_bytes
+from .words import column_bytes, held
 
 BLOCK_TOKENS = 1 << 19
 #: Words remembered by a worker, in each of two generations: some 50 MB.
 CACHE_WORDS = 300_000
+#: Runs of punctuation remembered by a worker.
+CACHE_TAILS = 10_000
 
 # --- codec ----------------------------------------------------------------------------------
 
@@ -96,16 +98,19 @@ class WordTokenizer(dict):
         self.packed = [i.tobytes() for i in ids]
         self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
         self.letters = dict(enumerate(byte_letters()))
-        self.parts: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def _part(self, text: str) -> bytes:
-        found = self.parts.get(text)
+        mapped = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(mapped)])
+
+    def _tail(self, text: str) -> bytes:
+        found = self.tails.get(text)
         if found is None:
-            if len(self.parts) >= CACHE_WORDS:
-                self.parts.clear()
-            mapped = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
-            found = self.parts[text] = b"".join([self.packed[t.id] for t in self.model.tokenize(mapped)])
+            found = self._part(text)
+            if len(self.tails) < CACHE_TAILS:
+                self.tails[text] = found
         return found
 
     def __missing__(self, word: bytes) -> bytes:
@@ -114,7 +119,7 @@ class WordTokenizer(dict):
             text = word.decode()
             core = text.rstrip(self.PUNCTUATION)
             if self.lowers and core.isalpha() and core == core.lower() and (core.isascii() or unicodedata.is_normalized("NFC", core)):
-                found = self._part(core) + (self._part(text[len(core) :]) if len(core) < len(text) else b"")
+                found = self[word[: len(core) - len(text)]] + self._tail(text[len(core) :]) if len(core) < len(text) else self._part(core)
             else:
                 found = b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
         if len(self) >= CACHE_WORDS:
@@ -130,13 +135,8 @@ class WordTokenizer(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_loaded: dict[tuple[str, str], WordTokenizer] = {}
-
-
 def word_tokenizer(path: str, width: str) -> WordTokenizer:
-    if (path, width) not in _loaded:
-        _loaded[path, width] = WordTokenizer(path, width)
-    return _loaded[path, width]
+    return held((path, width), lambda: WordTokenizer(path, width))
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -175,8 +175,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, scratch: Scratch) -> tup
     def count(batches):
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(blob, width), minlength=vocabulary)
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), width), minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
@@ -235,9 +234,10 @@ def starts(shards: DataFrame) -> DataFrame:
     return sizes.withColumn("inside", inside).join(F.broadcast(offsets), "shard").select("shard", "block", (F.col("inside") + F.col("shard_start")).alias("block_start"))
 
 
-def read(shards: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Documents of the files: ``doc_id, start, ids`` (ids as little-endian unsigned 32-bit integers)."""
+def _opened(shards: DataFrame, ranks: DataFrame, each, schema: str) -> DataFrame:
+    """``each`` (document, start, its ids as little-endian unsigned 32-bit integers) over the documents of the files."""
     by_rank = np.frombuffer(ranks.first().by_rank, "<u4")
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         for batch in batches:
@@ -246,22 +246,21 @@ def read(shards: DataFrame, ranks: DataFrame) -> DataFrame:
                 ends = np.cumsum(lengths)
                 values = by_rank[decode(row["control"], row["data"], int(ends[-1]))].astype("<u4")
                 first = ends - lengths
-                blobs = [values[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(first + row["block_start"]), pa.array(blobs, pa.binary())], ["doc_id", "start", "ids"])
+                columns = each([values[a:b] for a, b in zip(first, ends, strict=True)])
+                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(first + row["block_start"]), *columns], names)
 
-    return shards.join(starts(shards), ["shard", "block"]).mapInArrow(run, "doc_id long, start long, ids binary")
+    return shards.join(starts(shards), ["shard", "block"]).mapInArrow(run, schema)
 
 
-def digest(documents: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of what ``read`` returns."""
+def read(shards: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Documents of the files: ``doc_id, start, ids`` (ids as little-endian unsigned 32-bit integers)."""
+    return _opened(shards, ranks, lambda ids: [pa.array([x.tobytes() for x in ids], pa.binary())], "doc_id long, start long, ids binary")
 
-    def run(batches):
-        for batch in batches:
-            blobs = batch.column(2).to_pylist()
-            n, crc = [len(b) // 4 for b in blobs], [zlib.crc32(b) for b in blobs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return documents.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def digest(shards: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of the documents of the files; their ids stay in the worker that reads them."""
+    described = lambda ids: [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())]
+    return _opened(shards, ranks, described, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
@@ -270,4 +269,4 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     scratch = Scratch(spark, "token-ids")
     shards, ranks = write(docs, tokenizer, end_id, scratch)
     scratch.drop("ids")
-    return digest(read(shards, ranks))
+    return digest(shards, ranks)
