@@ -1,7 +1,7 @@
 """What Python workers hold and pass on."""
 
 from corpus_pipeline import tokenizer_path
-from tilewright.llm import token_ids, words
+from tilewright.llm import near_dedup, token_ids, words
 
 
 def test_ids_are_described_where_they_are_read(make):
@@ -17,3 +17,17 @@ def test_workers_hold_one_thing_at_a_time():
     assert words.held("b", lambda: [3]) == [3] and words.held("a", lambda: [4]) == [4]
     words.release()
     assert words.held("a", lambda: [5]) == [5]
+
+
+def test_near_dedup_tasks_drop_the_tokenizer(spark, make):
+    """A worker that has encoded texts does not keep its word cache while it makes sketches."""
+    docs = make([(1, "a b c d e f")], 1)
+    token_ids.tokenize(docs, tokenizer_path(), 2).collect()
+    near_dedup.signatures(docs).collect()
+
+    def held(_):
+        from tilewright.llm import words
+
+        yield len(getattr(words, "_held", {1: 1}))
+
+    assert spark.sparkContext.parallelize([0], 1).mapPartitions(held).collect() == [0]

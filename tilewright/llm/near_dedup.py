@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import Scratch, few, free_names, small_batches, tasks
-from .words import column_bytes, hash_words, shingles
+from .words import column_bytes, hash_words, release, shingles
 
 K = 64
 INDEXED = 16
@@ -55,6 +55,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, h1, h2, n, set_key, sketch, heads`` of each row; h1 and h2 tell rows of one id apart by their text."""
 
     def run(batches):
+        release()
         for batch in batches:
             words, at = hash_words(column_bytes(batch.column(3)), lower=True)
             n, keys, sketches, heads = [], [], [], []

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, small_batches
-from .words import column_bytes
+from .words import column_bytes, release
 
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
@@ -256,6 +256,7 @@ def count_features(docs: DataFrame, words: tuple[str, ...], keep: list[str]) ->
         schema = schema.add(name, "long")
 
     def run(batches):
+        release()
         matcher = Matcher(shared.value)
         for batch in batches:
             counts = np.array([features(t, matcher) for t in column_bytes(batch.column(len(keep)))], np.int64).reshape(-1, 4)
@@ -307,6 +308,7 @@ def remove_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
+        release()
         matcher = Matcher(shared.value[0])
         for batch in batches:
             counts = np.array([features(t, matcher) for t in column_bytes(batch.column(at))], np.int64)
